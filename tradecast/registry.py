@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradecast.operators.clean import Cleaned
+from tradecast.plans import marts as G
 from tradecast.plans import questions as Q
 from tradecast.sources.roles import bind
 
@@ -46,9 +47,21 @@ def _question_queries() -> dict[str, Callable]:
     }
 
 
+def _mart_queries() -> dict[str, Callable]:
+    return {
+        "g1_sales_monthly": _c(G.g1_sales_monthly),
+        "g2_customer_rfm": _c(G.g2_customer_rfm),
+        "g3_site_yield": _c(G.g3_site_yield),
+        "g4_weekly_season": _c(G.g4_weekly_season),
+        "g4b_weekly_season_isoyear": _c(lambda c: G.g4_weekly_season(c, iso_year=True)),
+        "g5_demand_features": _c(G.g5_demand_features),
+    }
+
+
 def queries() -> dict[str, Callable]:
     out: dict[str, Callable] = {}
     out.update(_question_queries())
+    out.update(_mart_queries())
     try:
         from tradecast.registry_more import more_queries
         out.update(more_queries())
@@ -58,8 +71,10 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from tradecast.oracle import marts as OG
     from tradecast.oracle import questions as OQ
     out = dict(OQ.SQL)
+    out.update(OG.SQL)
     try:
         from tradecast.registry_more import more_oracle
         out.update(more_oracle())
