@@ -17,6 +17,14 @@ def initcap(x: str) -> str:
             "lambda r: upper(substr(r, 1, 1)) || substr(r, 2)), '')")
 
 
+def canon_country(x: str) -> str:
+    ic = initcap(f"trim({x})")
+    return (f"CASE WHEN upper(replace(trim({x}), '.', '')) IN ('USA', 'ESTADOS UNIDOS') THEN 'USA' "
+            f"WHEN {ic} LIKE 'Pa%ses Bajos' THEN 'Países Bajos' WHEN {ic} LIKE 'Espa%a' THEN 'España' "
+            f"WHEN {ic} LIKE 'Canad%' THEN 'Canadá' WHEN {ic} = 'Reino Unido' THEN 'Reino Unido' "
+            f"WHEN {ic} = 'Rusia' THEN 'Rusia' ELSE {ic} END")
+
+
 def half_up_units(num: str, den: str, digits: int = 0, num_scale: int = 0) -> str:
     """HUGEINT k = round_half_up(num / 10^num_scale / den, digits) * 10^digits."""
     return (f"((CAST({num} AS HUGEINT) * {2 * 10 ** digits} + CAST({den} AS HUGEINT) * {10 ** num_scale}) "
@@ -106,14 +114,7 @@ CLEAN_CTES: dict[str, str] = {
         JOIN (SELECT {initcap('trim(name)')} AS clean_name, min(customer_id) AS canonical_id
               FROM r_customer GROUP BY 1) g ON m.clean_name = g.clean_name""",
     "s_customer": f"""SELECT c.customer_id, {initcap('trim(c.name)')} AS name,
-        CASE WHEN upper(replace(trim(c.country), '.', '')) IN ('USA', 'ESTADOS UNIDOS') THEN 'USA'
-             WHEN {initcap('trim(c.country)')} LIKE 'Pa%ses Bajos' THEN 'Países Bajos'
-             WHEN {initcap('trim(c.country)')} LIKE 'Espa%a' THEN 'España'
-             WHEN {initcap('trim(c.country)')} LIKE 'Canad%' THEN 'Canadá'
-             WHEN {initcap('trim(c.country)')} = 'Reino Unido' THEN 'Reino Unido'
-             WHEN {initcap('trim(c.country)')} = 'Rusia' THEN 'Rusia'
-             ELSE {initcap('trim(c.country)')} END AS country,
-        trim(c.kind) AS kind
+        {canon_country('c.country')} AS country, trim(c.kind) AS kind
         FROM r_customer c JOIN s_customer_map m ON c.customer_id = m.customer_id
         WHERE c.customer_id = m.canonical_id""",
     "s_customer_basic": f"""SELECT c.customer_id, {initcap('trim(c.name)')} AS name,

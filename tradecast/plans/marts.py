@@ -116,3 +116,24 @@ def g5_demand_features(c: Cleaned) -> DataFrame:
         F.when(w.between(*D.PEAK1_WEEKS), 1).otherwise(0).alias("flag_peak1"),
         F.when(w.between(*D.PEAK2_WEEKS), 1).otherwise(0).alias("flag_peak2"),
     )
+
+
+def features_from_raw(roles) -> DataFrame:
+    """S5 fallback: the feature mart rebuilt straight from raw sales, as the
+    notebook does when the warehouse is down — unrounded mean imputation, raw
+    (untrimmed) product attributes, no customer clean-up.  Floating sums are
+    rounded to 6 decimals."""
+    from tradecast.functions.numeric import round_half_up
+    from tradecast.operators.profile import group_means
+    s = roles.sale_raw
+    priced = (s.join(group_means(s), "product_id", "left")
+              .select("sale_date", "product_id", "units",
+                      F.coalesce(F.col("unit_price").cast("double"), F.col("mean_price")).alias("price")))
+    pre = (priced.groupBy("sale_date", "product_id")
+           .agg(F.sum("units").alias("demand"), F.sum(F.col("units") * F.col("price")).alias("_rev"),
+                F.avg("price").alias("_mp")))
+    prod = roles.product.select("product_id", F.col("name").alias("product_name"),
+                                F.col("kind").alias("product_kind"))
+    return pre.join(prod, "product_id").select(
+        "sale_date", "product_id", "product_name", "product_kind", "demand",
+        round_half_up(F.col("_rev"), 6).alias("revenue"), round_half_up(F.col("_mp"), 6).alias("mean_price"))

@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from tradecast.operators import contracts as CT
+from tradecast.operators import profile as PR
 from tradecast.operators.clean import Cleaned
+from tradecast.plans import expressions as X
 from tradecast.plans import marts as G
 from tradecast.plans import questions as Q
 from tradecast.sources.roles import bind
@@ -16,6 +21,23 @@ def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
     return Cleaned(bind(spark, sf_dir))
 
 
+def _r(fn):
+    """Adapt ``fn(Roles)`` to ``(spark, sf_dir)``."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(bind(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+def _rc(fn):
+    """Adapt ``fn(Roles, Cleaned)`` to ``(spark, sf_dir)``."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        r = bind(spark, sf_dir)
+        return fn(r, Cleaned(r))
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
 def _c(fn):
     """Adapt ``fn(Cleaned)`` to ``(spark, sf_dir)``."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,10 +80,62 @@ def _mart_queries() -> dict[str, Callable]:
     }
 
 
+def _dbl(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _quality_queries() -> dict[str, Callable]:
+    from tradecast.sources import io as IO
+    return {
+        "clean_customer_map": _c(lambda c: c.customer_map),
+        "clean_customer_dim": _c(lambda c: c.customer),
+        "clean_customer_dim_basic": _r(lambda r: __import__("tradecast.operators.clean", fromlist=["x"])
+                                       .customer_dim_basic(r.customer_raw)),
+        "clean_dims": _c(lambda c: _dbl(c.site, "area")),
+        "clean_sales": _c(lambda c: _dbl(c.sales, "unit_price", "value_total")),
+        "clean_movements_dedup": _c(lambda c: c.movements),
+        "contract_not_null": _r(lambda r: CT.not_null(CT.role_tables(r))),
+        "contract_domain": _r(lambda r: CT.domain(CT.role_tables(r))),
+        "contract_range": _r(lambda r: CT.positive(CT.role_tables(r))),
+        "contract_unique": _r(lambda r: CT.unique(CT.role_tables(r))),
+        "contract_fk": _r(lambda r: CT.foreign_keys(CT.role_tables(r))),
+        "contract_width": _r(lambda r: CT.width(CT.role_tables(r))),
+        "dq_padded": _r(lambda r: PR.padded_names(r.customer_raw)),
+        "dq_padded_kind": _r(lambda r: PR.padded_kinds(r.customer_raw)),
+        "dq_upper": _r(lambda r: PR.upper_names(r.customer_raw)),
+        "dq_lower": _r(lambda r: PR.lower_names(r.customer_raw)),
+        "dq_variants": _r(lambda r: PR.country_variants(r.customer_raw)),
+        "dq_dup_names": _r(lambda r: PR.duplicate_names(r.customer_raw)),
+        "dq_dup_names_normalised": _r(lambda r: PR.duplicate_names(r.customer_raw, normalised=True)),
+        "dq_null_price": _r(lambda r: PR.null_prices(r.sale_raw)),
+        "dq_group_mean": _r(lambda r: PR.group_means(r.sale_raw)),
+        "dq_imputable": _r(lambda r: PR.imputable(r.sale_raw)),
+        "dq_unimputable": _r(lambda r: PR.unimputable(r.sale_raw)),
+        "dq_counts": _rc(PR.cleaning_counts),
+        "dq_residual_dups": _c(lambda c: PR.residual_duplicates(c.movements)),
+        "dq_residual_logical": _c(lambda c: PR.residual_logical(c.customer)),
+        "dq_profile": _c(lambda c: PR.column_profile(G.g5_demand_features(c))),
+        "dq_value_counts": _c(lambda c: PR.value_counts(G.g5_demand_features(c), "product_kind")),
+        "fn_strings": _r(X.fn_strings),
+        "fn_initcap": _r(X.fn_initcap),
+        "fn_dates": _r(X.fn_dates),
+        "fn_week_end": _r(X.fn_week_end),
+        "fn_weeknum": _r(X.fn_weeknum),
+        "fn_festivals": _r(X.fn_festivals),
+        "fn_round": _r(X.fn_round),
+        "src_csv": _r(lambda r: IO.csv_roundtrip(r, "sale")),
+        "load_order": _r(IO.load_in_order),
+        "scan_features": _c(lambda c: G.g5_demand_features(c).orderBy("sale_date", "product_id")),
+        "features_rebuild": _r(lambda r: IO.features_source(r.spark, None, lambda: G.features_from_raw(r))),
+        "mart_roundtrip": _c(lambda c: IO.materialise(G.g1_sales_monthly(c), "sales_monthly", ["year"])),
+    }
+
+
 def queries() -> dict[str, Callable]:
     out: dict[str, Callable] = {}
     out.update(_question_queries())
     out.update(_mart_queries())
+    out.update(_quality_queries())
     try:
         from tradecast.registry_more import more_queries
         out.update(more_queries())
@@ -73,8 +147,10 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     from tradecast.oracle import marts as OG
     from tradecast.oracle import questions as OQ
+    from tradecast.oracle import quality as OX
     out = dict(OQ.SQL)
     out.update(OG.SQL)
+    out.update(OX.SQL)
     try:
         from tradecast.registry_more import more_oracle
         out.update(more_oracle())
