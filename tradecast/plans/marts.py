@@ -18,8 +18,8 @@ G1_KEYS = ["month", "year", "month_no", "product_id", "product_name", "product_k
            "product_color", "country", "customer_kind"]
 
 
-def g1_sales_monthly(c: Cleaned) -> DataFrame:
-    """month × product × country × customer kind; weighted price rounded to 3."""
+def g1_exact(c: Cleaned) -> DataFrame:
+    """The monthly mart with its value kept as an exact decimal (``_value``)."""
     pre = (c.sales.groupBy(D.month_start("sale_date").alias("month"), "product_id", "customer_id")
            .agg(F.count("*").alias("n"), F.sum("units").alias("u"), F.sum("value_total").alias("v")))
     prod = c.product.select("product_id", F.col("name").alias("product_name"),
@@ -27,8 +27,13 @@ def g1_sales_monthly(c: Cleaned) -> DataFrame:
     cust = c.customer.select("customer_id", "country", F.col("kind").alias("customer_kind"))
     j = (pre.join(prod, "product_id").join(cust, "customer_id")
          .withColumn("year", F.year("month")).withColumn("month_no", F.month("month")))
-    agg = j.groupBy(*G1_KEYS).agg(F.sum("n").alias("n_transactions"),
-                                  F.sum("u").alias("total_units"), F.sum("v").alias("_value"))
+    return j.groupBy(*G1_KEYS).agg(F.sum("n").alias("n_transactions"),
+                                   F.sum("u").alias("total_units"), F.sum("v").alias("_value"))
+
+
+def g1_sales_monthly(c: Cleaned) -> DataFrame:
+    """month × product × country × customer kind; weighted price rounded to 3."""
+    agg = g1_exact(c)
     return agg.select(*G1_KEYS, "n_transactions", "total_units",
                       F.col("_value").cast("double").alias("total_value"),
                       F.when(F.col("total_units") > 0,

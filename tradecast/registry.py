@@ -13,6 +13,7 @@ from tradecast.operators import profile as PR
 from tradecast.operators.clean import Cleaned
 from tradecast.plans import expressions as X
 from tradecast.plans import marts as G
+from tradecast.plans import measures as B
 from tradecast.plans import questions as Q
 from tradecast.sources.roles import bind
 
@@ -131,8 +132,16 @@ def _quality_queries() -> dict[str, Callable]:
     }
 
 
+def _measure_queries() -> dict[str, Callable]:
+    names = ["b1_calendar", "b2_year_week_bridge", "b3_total_sales", "b4_total_units", "b5_weighted_price",
+             "b6_prior_year", "b7_yoy_growth", "b8_mom_growth", "b9_sales_by_product", "b9_sales_by_country",
+             "b9_sales_by_month", "b10_date_hierarchy"]
+    return {n: _c(getattr(B, n)) for n in names}
+
+
 def queries() -> dict[str, Callable]:
     out: dict[str, Callable] = {}
+    out.update(_measure_queries())
     out.update(_question_queries())
     out.update(_mart_queries())
     out.update(_quality_queries())
@@ -151,6 +160,8 @@ def oracle_sql() -> dict[str, str]:
     out = dict(OQ.SQL)
     out.update(OG.SQL)
     out.update(OX.SQL)
+    from tradecast.oracle import measures as OB
+    out.update(OB.SQL)
     try:
         from tradecast.registry_more import more_oracle
         out.update(more_oracle())
