@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradecast.functions import dates as D
-from tradecast.functions.numeric import ratio_half_up, to_cents
+from tradecast.functions.numeric import ratio_half_up, ratio_half_up_units, to_cents
 from tradecast.operators.clean import Cleaned
 from tradecast.plans.questions import rfm_base, rfm_scores
 
@@ -103,6 +103,22 @@ def g4_weekly_season(c: Cleaned, iso_year: bool = False) -> DataFrame:
                  F.sum("value_total").cast("double").alias("total_value")))
 
 
+def g5_exact(c: Cleaned) -> DataFrame:
+    """day × product: demand, exact revenue (decimal ``_rev``) and the rounded
+    mean price in thousandths (long ``_price_milli``), for downstream re-aggregation."""
+    pre = (c.sales.groupBy("sale_date", "product_id")
+           .agg(F.sum("units").alias("demand"), F.sum("value_total").alias("_rev"),
+                F.sum(to_cents("unit_price")).alias("_pc"), F.count("unit_price").alias("_pn")))
+    prod = c.product.select("product_id", F.col("name").alias("product_name"),
+                            F.col("kind").alias("product_kind"), F.col("color").alias("product_color"))
+    w = D.iso_week("sale_date")
+    return pre.join(prod, "product_id").select(
+        "sale_date", "product_id", "product_name", "product_kind", "product_color", "demand", "_rev",
+        F.when(F.col("_pn") > 0, ratio_half_up_units(F.col("_pc"), F.col("_pn"), 3, 2)).alias("_price_milli"),
+        F.when(w.between(*D.PEAK1_WEEKS), 1).otherwise(0).alias("flag_peak1"),
+        F.when(w.between(*D.PEAK2_WEEKS), 1).otherwise(0).alias("flag_peak2"))
+
+
 def g5_demand_features(c: Cleaned) -> DataFrame:
     """day × product demand, revenue, mean price (3), calendar and season flags."""
     pre = (c.sales.groupBy("sale_date", "product_id")

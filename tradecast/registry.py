@@ -13,7 +13,9 @@ from tradecast.operators import profile as PR
 from tradecast.operators.clean import Cleaned
 from tradecast.plans import expressions as X
 from tradecast.plans import marts as G
+from tradecast.plans import forecast as M
 from tradecast.plans import measures as B
+from tradecast.plans import timeseries as TS
 from tradecast.plans import questions as Q
 from tradecast.sources.roles import bind
 
@@ -139,8 +141,37 @@ def _measure_queries() -> dict[str, Callable]:
     return {n: _c(getattr(B, n)) for n in names}
 
 
+def _series_queries() -> dict[str, Callable]:
+    return {
+        "t1_daily_global": _c(TS.t1_daily_global),
+        "t1_daily_dense": _c(TS.t1_daily_dense),
+        "t2_weekly_global": _c(TS.t2_weekly_global),
+        "t2_weekly_product": _c(TS.t2_weekly_product),
+        "t3_dense_panel": _c(TS.t3_dense_panel),
+        "e1_rolling8": _c(TS.e1_rolling8),
+        "e2_adf": _c(TS.e2_adf),
+        "e2_adf_by_series": _c(lambda c: TS.e2_adf(c, "product_color")),
+        "e3_decompose": _c(TS.e3_decompose),
+        "e4_acf": _c(TS.e4_acf),
+        "e4_pacf": _c(TS.e4_pacf),
+        "e5_product_share_top15": _c(TS.e5_product_share_top),
+        "m1_festival_calendar": _c(M.m1_festival_calendar),
+        "m2_direct_features": _c(M.m2_direct_features),
+        "m3_target_calendar": _c(M.m3_target_calendar),
+        "m4_time_split": _c(M.m4_time_split),
+        "m5_seasonal_naive": _c(M.m5_seasonal_naive),
+        "m6_naive_growth": _c(M.m6_naive_growth),
+        "m9_metrics_global": _c(M.m9_metrics_global),
+        "m10_metrics_h12": _c(M.m10_metrics_h12),
+        "m11_h12_curve": _c(M.m11_h12_curve),
+        "m12_capacity": _c(M.m12_capacity),
+        "m13_newsvendor": _c(M.m13_newsvendor),
+    }
+
+
 def queries() -> dict[str, Callable]:
     out: dict[str, Callable] = {}
+    out.update(_series_queries())
     out.update(_measure_queries())
     out.update(_question_queries())
     out.update(_mart_queries())
