@@ -57,7 +57,8 @@ def round_half_up(x, digits: int) -> Column:
     ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d``."""
     c = _c(x)
     f = float(10 ** digits)
-    return F.signum(c) * F.floor(F.abs(c) * F.lit(f) + F.lit(0.5)) / F.lit(f)
+    r = F.signum(c) * F.floor(F.abs(c) * F.lit(f) + F.lit(0.5)) / F.lit(f)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
 
 
 def to_milli(price) -> Column:

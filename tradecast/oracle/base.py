@@ -37,7 +37,8 @@ def half_up(num: str, den: str, digits: int = 0, num_scale: int = 0) -> str:
 
 def dbl_round(x: str, digits: int) -> str:
     f = float(10 ** digits)
-    return f"(sign({x}) * floor(abs({x}) * {f!r} + 0.5e0) / {f!r})"
+    r = f"(sign({x}) * floor(abs({x}) * {f!r} + 0.5e0) / {f!r})"
+    return f"(CASE WHEN {r} = 0 THEN 0.0e0 ELSE {r} END)"
 
 
 def isodow(d: str) -> str:

@@ -174,4 +174,4 @@ def e5_product_share_top(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
                      F.col("_rev").cast("double").alias("total_revenue"),
                      _mean_price("_pm", "_pn").alias("mean_price"), "peak_units",
                      (F.col("peak_units") * 100 / F.col("total_units")).alias("peak_pct"))
-            .orderBy(F.desc("total_units"), "product_name").limit(p.top_products))
+            .orderBy(F.desc("total_units"), "product_name", "product_kind").limit(p.top_products))

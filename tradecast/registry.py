@@ -193,6 +193,8 @@ def oracle_sql() -> dict[str, str]:
     out.update(OX.SQL)
     from tradecast.oracle import measures as OB
     out.update(OB.SQL)
+    from tradecast.oracle import series as OS
+    out.update(OS.SQL)
     try:
         from tradecast.registry_more import more_oracle
         out.update(more_oracle())
