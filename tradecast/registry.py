@@ -166,6 +166,12 @@ def _series_queries() -> dict[str, Callable]:
         "m11_h12_curve": _c(M.m11_h12_curve),
         "m12_capacity": _c(M.m12_capacity),
         "m13_newsvendor": _c(M.m13_newsvendor),
+        "m7_gbt_mean": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m7_gbt_mean(c)),
+        "m8_quantile": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m8_quantile(c)),
+        "m9_metrics_all": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m9_metrics_all(c)),
+        "m10_metrics_h12_all": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"])
+                                  .m10_metrics_h12_all(c)),
+        "m12_capacity_gbt": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m12_capacity_gbt(c)),
     }
 
 
