@@ -38,11 +38,6 @@ def m1_festival_calendar(c: Cleaned) -> DataFrame:
                         D.iso_week(D.mothers_day(y)).alias("mothers_iso_week"))
 
 
-def panel_indexed(c: Cleaned, series_col: str = SERIES_COL) -> DataFrame:
-    p = t3_dense_panel(c, series_col)
-    return p.withColumn("idx", F.row_number().over(Window.partitionBy("series_id").orderBy("week_end")) - 1)
-
-
 def origin_features(panel: DataFrame) -> DataFrame:
     """Features at each origin T from rows <= T of the same series."""
     w = Window.partitionBy("series_id").orderBy("idx")
@@ -77,7 +72,13 @@ def target_calendar(target: F.Column, p: Params = DEFAULT) -> list[F.Column]:
 
 
 def m2_direct_features(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES_COL) -> DataFrame:
-    panel = panel_indexed(c, series_col)
+    return direct_features(t3_dense_panel(c, series_col), p)
+
+
+def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """(series, origin T, horizon h) rows from a dense panel (week_end, series_id, demand)."""
+    panel = dense_panel.withColumn(
+        "idx", F.row_number().over(Window.partitionBy("series_id").orderBy("week_end")) - 1)
     n_weeks = panel.select(F.countDistinct("week_end")).scalar()
     feats = origin_features(panel).where(
         (F.col("idx") >= p.first_origin) & (F.col("idx") <= n_weeks - (p.horizons + 1)))
