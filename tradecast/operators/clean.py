@@ -118,35 +118,54 @@ def movements_dedup(movement_raw: DataFrame) -> DataFrame:
 
 
 class Cleaned:
-    """The silver layer over a :class:`~tradecast.sources.roles.Roles` bundle (lazy)."""
+    """The silver layer over a :class:`~tradecast.sources.roles.Roles` bundle.
+
+    With ``store=None`` every table is a lazy view (re-planned on each use).
+    With a ``store`` folder (inside the shared checkpoint folder) each table is
+    written once as parquet on first use and read back afterwards: queries that
+    touch a table several times scan the small silver copy instead of
+    re-running the raw joins, and the written table cuts the lineage, so a lost
+    executor recomputes from it rather than from the raw sources.
+    """
 
-    def __init__(self, roles):
+    def __init__(self, roles, store: str | None = None):
         self.roles = roles
+        self.store = store
+        self._written: dict[str, str] = {}
+
+    def cached(self, name: str, build) -> DataFrame:
+        if self.store is None:
+            return build()
+        if name not in self._written:
+            path = f"{self.store}/{name}"
+            build().write.mode("overwrite").parquet(path)
+            self._written[name] = path
+        return self.roles.spark.read.parquet(self._written[name])
 
     @property
     def customer_map(self) -> DataFrame:
-        return customer_map(self.roles.customer_raw)
+        return self.cached("customer_map", lambda: customer_map(self.roles.customer_raw))
 
     @property
     def customer(self) -> DataFrame:
-        return customer_dim(self.roles.customer_raw)
+        return self.cached("customer", lambda: customer_dim(self.roles.customer_raw))
 
     @property
     def product(self) -> DataFrame:
-        return product_dim(self.roles.product)
+        return self.cached("product", lambda: product_dim(self.roles.product))
 
     @property
     def site(self) -> DataFrame:
-        return site_dim(self.roles.site, self.roles.product)
+        return self.cached("site", lambda: site_dim(self.roles.site, self.roles.product))
 
     @property
     def sales(self) -> DataFrame:
-        return sales(self.roles.sale_raw, self.customer_map)
+        return self.cached("sales", lambda: sales(self.roles.sale_raw, self.customer_map))
 
     @property
     def movements(self) -> DataFrame:
-        return movements_dedup(self.roles.movement_raw)
+        return self.cached("movements", lambda: movements_dedup(self.roles.movement_raw))
 
     @property
     def production(self) -> DataFrame:
-        return self.roles.production
+        return self.cached("production", lambda: self.roles.production)

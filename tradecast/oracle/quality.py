@@ -185,6 +185,7 @@ SQL = {
               FROM lineitem)"""),
     # sources
     "src_csv": q("SELECT * FROM r_sale"),
+    "load_stream": q("SELECT * FROM r_sale"),
     "load_order": q(" UNION ALL ".join(
         f"SELECT {i} AS load_seq, '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM {ROLE_CTE[n]}"
         for i, n in enumerate(["product", "site", "store_room", "customer", "carrier", "forwarder",

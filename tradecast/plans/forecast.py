@@ -38,24 +38,45 @@ def m1_festival_calendar(c: Cleaned) -> DataFrame:
                         D.iso_week(D.mothers_day(y)).alias("mothers_iso_week"))
 
 
-def origin_features(panel: DataFrame) -> DataFrame:
-    """Features at each origin T from rows <= T of the same series."""
-    w = Window.partitionBy("series_id").orderBy("idx")
+def origin_features(panel: DataFrame, horizons: int = 12) -> DataFrame:
+    """Features at each origin T from rows <= T of the same series, plus the
+    12 future targets, in ONE window stage partitioned by series.
+
+    * lags / trailing frames are positional (``rowsBetween``), as in the notebook;
+    * the lag-52 value is looked up *by date*: a one-point RANGE frame on the day
+      number (``rangeBetween(-364, -364)``) returns the demand of the week exactly
+      364 days earlier, or NULL if that week was not observed;
+    * targets (date, value, lag-52 of the target) come from ``lead(…, h)``.
+    """
+    day = F.datediff("week_end", F.lit("1970-01-01").cast("date"))
+    p = panel.withColumn("_day", day)
+    w = Window.partitionBy("series_id").orderBy("_day")
     def frame(lo):
         return w.rowsBetween(lo, 0)
     y = F.col("demand")
     recent8 = F.sum(y).over(frame(-7))
     last_year8 = F.sum(y).over(w.rowsBetween(-59, -52))
-    return panel.select(
-        "series_id", "idx", F.col("week_end").alias("origin_date"),
-        y.alias("y_T"),
+    idx = F.row_number().over(w) - 1
+    by_date_52 = F.max(y).over(w.rangeBetween(-364, -364))
+    base = p.select(
+        "series_id", "week_end", "demand", "_day", idx.alias("idx"),
+        F.count("*").over(Window.partitionBy("series_id")).alias("_n_weeks"),
         F.lag(y, 1).over(w).alias("y_T_1"), F.lag(y, 2).over(w).alias("y_T_2"),
         F.lag(y, 3).over(w).alias("y_T_3"),
         F.avg(y).over(frame(-3)).alias("ma_4"),
         F.avg(y).over(frame(-11)).alias("ma_12"),
         round_half_up(F.stddev_samp(y).over(frame(-7)), 6).alias("std_8"),
-        recent8.alias("_recent8"),
-        F.when(F.col("idx") >= 59, last_year8).otherwise(recent8).alias("_ly8"))
+        recent8.alias("_recent8"), last_year8.alias("_last_year8"),
+        by_date_52.alias("_y52_here"))
+    leads = [F.struct(F.lit(h).alias("horizon"),
+                      F.lead("week_end", h).over(w).alias("target_date"),
+                      F.lead("demand", h).over(w).alias("y_target"),
+                      F.lead("_y52_here", h).over(w).alias("_y52")) for h in range(1, horizons + 1)]
+    return base.select(
+        "series_id", "idx", "_n_weeks", F.col("week_end").alias("origin_date"), F.col("demand").alias("y_T"),
+        "y_T_1", "y_T_2", "y_T_3", "ma_4", "ma_12", "std_8", "_recent8",
+        F.when(F.col("idx") >= 59, F.col("_last_year8")).otherwise(F.col("_recent8")).alias("_ly8"),
+        F.array(*leads).alias("_targets"))
 
 
 def target_calendar(target: F.Column, p: Params = DEFAULT) -> list[F.Column]:
@@ -76,21 +97,13 @@ def m2_direct_features(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES
 
 
 def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """(series, origin T, horizon h) rows from a dense panel (week_end, series_id, demand)."""
-    panel = dense_panel.withColumn(
-        "idx", F.row_number().over(Window.partitionBy("series_id").orderBy("week_end")) - 1)
-    n_weeks = panel.select(F.countDistinct("week_end")).scalar()
-    feats = origin_features(panel).where(
-        (F.col("idx") >= p.first_origin) & (F.col("idx") <= n_weeks - (p.horizons + 1)))
-    rows = feats.select("*", F.explode(F.sequence(F.lit(1), F.lit(p.horizons))).alias("horizon"))
-    tgt = panel.select(F.col("series_id").alias("_tsid"), F.col("idx").alias("_tidx"),
-                       F.col("week_end").alias("target_date"), F.col("demand").alias("y_target"))
-    rows = rows.join(tgt, (F.col("series_id") == F.col("_tsid")) &
-                     (F.col("idx") + F.col("horizon") == F.col("_tidx")))
-    past = panel.select(F.col("series_id").alias("_psid"), F.col("week_end").alias("_lag_date"),
-                        F.col("demand").alias("_y52"))
-    rows = rows.join(past, (F.col("series_id") == F.col("_psid")) &
-                     (F.date_sub(F.col("target_date"), 364) == F.col("_lag_date")), "left")
+    """(series, origin T, horizon h) rows from a dense panel (week_end, series_id, demand).
+
+    Origins are panel positions ``first_origin … n_weeks − horizons − 1``; the
+    horizons are exploded last, after every feature is fixed at T."""
+    f = origin_features(dense_panel, p.horizons)
+    f = f.where((F.col("idx") >= p.first_origin) & (F.col("idx") <= F.col("_n_weeks") - (p.horizons + 1)))
+    rows = f.select("*", F.explode("_targets").alias("_t")).select("*", "_t.*")
     growth = (F.col("_recent8") + F.lit(1.0)) / (F.col("_ly8") + F.lit(1.0))
     return rows.select(
         "series_id", "origin_date", "horizon", "target_date", "y_target",
@@ -219,7 +232,8 @@ def capacity(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
 def m12_capacity(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     cur = m11_h12_curve(c, p)
     cap = capacity(c, p)
-    base, top, area = (cap.select(x).scalar() for x in ("capacity_base", "capacity_max", "total_area"))
+    k = cap.select(F.struct("capacity_base", "capacity_max", "total_area")).scalar()
+    base, top, area = (k.getField(x) for x in ("capacity_base", "capacity_max", "total_area"))
     return cur.select("target_date", "actual", "pred_naive", area.alias("total_area"),
                       base.alias("capacity_base"), top.alias("capacity_max"),
                       (F.col("pred_naive") > base).cast("int").alias("over_base"),

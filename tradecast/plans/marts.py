@@ -105,7 +105,12 @@ def g4_weekly_season(c: Cleaned, iso_year: bool = False) -> DataFrame:
 
 def g5_exact(c: Cleaned) -> DataFrame:
     """day × product: demand, exact revenue (decimal ``_rev``) and the rounded
-    mean price in thousandths (long ``_price_milli``), for downstream re-aggregation."""
+    mean price in thousandths (long ``_price_milli``), for downstream re-aggregation.
+    Materialised with the silver layer when the bundle has a store."""
+    return c.cached("g5_exact", lambda: _g5_exact(c))
+
+
+def _g5_exact(c: Cleaned) -> DataFrame:
     pre = (c.sales.groupBy("sale_date", "product_id")
            .agg(F.sum("units").alias("demand"), F.sum("value_total").alias("_rev"),
                 F.sum(to_cents("unit_price")).alias("_pc"), F.count("unit_price").alias("_pn")))

@@ -108,7 +108,8 @@ def m12_capacity_gbt(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     """Capacity check on the boosted-tree mean forecast (h = 12), as the reference does."""
     curve = M.h12_curve(all_predictions(c, p), p)
     cap = M.capacity(c, p)
-    base, top = (cap.select(x).scalar() for x in ("capacity_base", "capacity_max"))
+    k = cap.select(F.struct("capacity_base", "capacity_max")).scalar()
+    base, top = k.getField("capacity_base"), k.getField("capacity_max")
     pred = F.col(f"`{M.MODEL_GBT}`")
     return curve.select("target_date", "actual", pred.alias("pred_gbt"), base.alias("capacity_base"),
                         top.alias("capacity_max"), (pred > base).cast("int").alias("over_base"),

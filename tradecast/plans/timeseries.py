@@ -40,8 +40,8 @@ def t1_daily_global(c: Cleaned) -> DataFrame:
 def t1_daily_dense(c: Cleaned) -> DataFrame:
     """Every calendar day between the first and last sale; all columns 0-filled."""
     daily = t1_daily_global(c)
-    lo = daily.select(F.min("date")).scalar()
-    hi = daily.select(F.max("date")).scalar()
+    b = daily.select(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    lo, hi = b.getField("lo"), b.getField("hi")
     days = daily.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("date"))
     j = days.join(daily, "date", "left")
     return j.select("date",
@@ -89,8 +89,8 @@ def t3_dense_panel(c: Cleaned, series_col: str = "product_color") -> DataFrame:
     (semi-join on a table bounded by the calendar) and left-joins its data.
     """
     wk = weekly_series(c, series_col)
-    lo = wk.select(F.min("week_end")).scalar()
-    hi = wk.select(F.max("week_end")).scalar()
+    b = wk.select(F.struct(F.min("week_end").alias("lo"), F.max("week_end").alias("hi"))).scalar()
+    lo, hi = b.getField("lo"), b.getField("hi")
     observed = wk.select("week_end").distinct()
     grid = (wk.select("series_id").distinct()
             .select("series_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))).alias("week_end"))

@@ -20,8 +20,17 @@ from tradecast.plans import questions as Q
 from tradecast.sources.roles import bind
 
 
+_SILVER: dict[tuple[str, str], Cleaned] = {}
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
-    return Cleaned(bind(spark, sf_dir))
+    """The silver layer for ``sf_dir``, written once per Spark application into
+    the shared checkpoint folder and reused by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SILVER:
+        from tradecast.session import scratch_dir
+        _SILVER[key] = Cleaned(bind(spark, sf_dir), store=scratch_dir(spark, "silver"))
+    return _SILVER[key]
 
 
 def _r(fn):
@@ -35,8 +44,8 @@ def _r(fn):
 def _rc(fn):
     """Adapt ``fn(Roles, Cleaned)`` to ``(spark, sf_dir)``."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        r = bind(spark, sf_dir)
-        return fn(r, Cleaned(r))
+        c = cleaned(spark, sf_dir)
+        return fn(c.roles, c)
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
@@ -128,6 +137,7 @@ def _quality_queries() -> dict[str, Callable]:
         "fn_round": _r(X.fn_round),
         "src_csv": _r(lambda r: IO.csv_roundtrip(r, "sale")),
         "load_order": _r(IO.load_in_order),
+        "load_stream": _r(lambda r: __import__("tradecast.streaming", fromlist=["x"]).ingest_role(r, "sale")),
         "scan_features": _c(lambda c: G.g5_demand_features(c).orderBy("sale_date", "product_id")),
         "features_rebuild": _r(lambda r: IO.features_source(r.spark, None, lambda: G.features_from_raw(r))),
         "mart_roundtrip": _c(lambda c: IO.materialise(G.g1_sales_monthly(c), "sales_monthly", ["year"])),

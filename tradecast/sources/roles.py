@@ -103,13 +103,13 @@ class Roles:
                 .when(k % 10 == 5, F.lower("c_name"))
                 .when(k % 10 == 7, F.concat(F.lit("  "), F.col("c_name"), F.lit("  ")))
                 .otherwise(F.col("c_name")))
-        originals = base.select(k.alias("customer_id"), name.alias("name"),
-                                country.alias("country"), kind.alias("kind"))
         dup_name = F.when(k % 60 == 0, F.upper("c_name")).otherwise(F.concat(F.lit(" "), F.lower("c_name")))
-        dups = base.where(k % 30 == 0).select(
-            (k + F.lit(DUP_CUSTOMER_OFFSET)).alias("customer_id"), dup_name.alias("name"),
-            country.alias("country"), kind.alias("kind"))
-        return originals.unionByName(dups)
+        orig = F.struct(k.alias("customer_id"), name.alias("name"))
+        dup = F.struct((k + F.lit(DUP_CUSTOMER_OFFSET)).alias("customer_id"), dup_name.alias("name"))
+        # One scan: every 30th customer also emits its logical duplicate.
+        rows = F.explode(F.when(k % 30 == 0, F.array(orig, dup)).otherwise(F.array(orig)))
+        return base.select(rows.alias("r"), country.alias("country"), kind.alias("kind")) \
+            .select("r.customer_id", "r.name", "country", "kind")
 
     # ---------------------------------------------------------------- facts
     @cached_property
