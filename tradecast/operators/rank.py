@@ -12,17 +12,18 @@ the same buckets with a range shuffle instead:
 4. global 0-based rank ``r`` -> bucket with ``q = N div n, m = N mod n``:
    ``r < m(q+1) ? r div (q+1) : m + (r - m(q+1)) div q`` (+1).
 
-The order must be total (end with a unique id) so any recomputation after an
-executor loss yields the same ranks.  Matches ``F.ntile`` row for row.
+The order must be total (end with a unique id).  The numbered rows are written
+to the shared checkpoint folder (one job) so the count pass and the rank pass
+read identical data.  Matches ``F.ntile`` row for row.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradecast.functions.numeric import int_div
+from tradecast.session import scratch_dir
 
 # Above this many rows the single-partition window is replaced by the range form.
 DIST_NTILE_MIN_ROWS = 0
@@ -35,11 +36,17 @@ def window_ntile(df: DataFrame, n: int, order: list[Column], out: str) -> DataFr
 
 def dist_ntile(df: DataFrame, n: int, order: list[Column], out: str) -> DataFrame:
     cols = df.columns
-    ranged = (df.repartitionByRange(*order)
-              .sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    spark = df.sparkSession
+    # Position inside each range partition is fixed once and written to the
+    # shared folder: both passes below read the same rows, and a lost executor
+    # re-reads the table instead of re-sampling the range bounds.
+    path = scratch_dir(spark, "ntile")
+    (df.repartitionByRange(*order)
+     .sortWithinPartitions(*order)
+     .withColumn("_pid", F.spark_partition_id())
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
     per_part = ranged.groupBy("_pid").agg(F.count("*").alias("_cnt"))
     w_all = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = per_part.select(

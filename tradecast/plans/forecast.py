@@ -3,13 +3,13 @@ boosted trees, and the asymmetric-cost evaluation (M1–M13).
 
 Plan shape
 ----------
-* The dense weekly panel (T3) is numbered per series (``idx``).  One window
-  stage per series computes every origin feature from rows ``<= idx`` only
-  (lags, trailing means / std / sums).  Windows are partitioned by series and
-  bounded by the number of weeks.
-* Horizons are exploded last (×12) and the target and the lag-52 value are
-  fetched with equi-joins on (series, idx + h) and (series, target − 364 days),
-  so nothing after the origin leaks into the features.
+* The dense weekly panel (T3) is partitioned by series and ordered by week in
+  ONE window stage that computes every origin feature from rows ``<= T`` only
+  (lags, trailing means / std / sums), the by-date lag-52 (a one-point RANGE
+  frame) and the 12 targets (``lead``).  Windows are bounded by the number of
+  weeks, not by the data volume.
+* Horizons are exploded last (×12): no self-joins, no cross joins, and nothing
+  after the origin can reach the features.
 * Metrics are one ``groupBy`` over the unpivoted predictions.
 """
 
