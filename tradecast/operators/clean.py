@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradecast.functions.numeric import ratio_half_up_units, to_milli, units_to_decimal
+from tradecast.functions.numeric import int_div, ratio_half_up_units, to_milli, units_to_decimal
 from tradecast.functions.text import basic_country, canonical_country, clean_name
 
 
@@ -89,9 +89,11 @@ def sales(sale_raw: DataFrame, cmap: DataFrame) -> DataFrame:
          .join(means, "product_id", "left"))
     known = F.col("unit_price").isNotNull()
     milli = to_milli("unit_price")
-    price_cents = F.when(known, ratio_half_up_units(milli, 1, 2, 3)) \
+    # Known price (most rows): half-up to cents in long arithmetic.  Imputed rows
+    # divide large exact sums, so they take the wide-decimal path.
+    price_cents = F.when(known, int_div(milli + 5, 10)) \
         .otherwise(ratio_half_up_units(F.col("price_milli_sum"), F.col("price_n"), 2, 3))
-    value_cents = F.when(known, ratio_half_up_units(F.col("units") * milli, 1, 2, 3)) \
+    value_cents = F.when(known, int_div(F.col("units") * milli + 5, 10)) \
         .otherwise(ratio_half_up_units(F.col("units").cast("decimal(38,0)") * F.col("price_milli_sum"),
                                        F.col("price_n"), 2, 3))
     return s.select(

@@ -17,7 +17,6 @@ from tradecast.plans import forecast as M
 from tradecast.plans import measures as B
 from tradecast.plans import timeseries as TS
 from tradecast.plans import questions as Q
-from tradecast.sources.roles import bind
 
 
 _SILVER: dict[tuple[str, str], Cleaned] = {}
@@ -29,14 +28,16 @@ def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SILVER:
         from tradecast.session import scratch_dir
-        _SILVER[key] = Cleaned(bind(spark, sf_dir), store=scratch_dir(spark, "silver"))
+        from tradecast.sources.roles import Roles
+        roles = Roles(spark, sf_dir, store=scratch_dir(spark, "bronze"))
+        _SILVER[key] = Cleaned(roles, store=scratch_dir(spark, "silver"))
     return _SILVER[key]
 
 
 def _r(fn):
-    """Adapt ``fn(Roles)`` to ``(spark, sf_dir)``."""
+    """Adapt ``fn(Roles)`` to ``(spark, sf_dir)`` (the session's bronze entities)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(bind(spark, sf_dir))
+        return fn(cleaned(spark, sf_dir).roles)
     run.__name__ = getattr(fn, "__name__", "query")
     return run
 
