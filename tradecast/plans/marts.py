@@ -19,7 +19,12 @@ G1_KEYS = ["month", "year", "month_no", "product_id", "product_name", "product_k
 
 
 def g1_exact(c: Cleaned) -> DataFrame:
-    """The monthly mart with its value kept as an exact decimal (``_value``)."""
+    """The monthly mart with its value kept as an exact decimal (``_value``).
+    Materialised once per session (the measures all read it)."""
+    return c.cached("g1_exact", lambda: _g1_exact(c))
+
+
+def _g1_exact(c: Cleaned) -> DataFrame:
     pre = (c.sales.groupBy(D.month_start("sale_date").alias("month"), "product_id", "customer_id")
            .agg(F.count("*").alias("n"), F.sum("units").alias("u"), F.sum("value_total").alias("v")))
     prod = c.product.select("product_id", F.col("name").alias("product_name"),
@@ -126,22 +131,14 @@ def _g5_exact(c: Cleaned) -> DataFrame:
 
 def g5_demand_features(c: Cleaned) -> DataFrame:
     """day × product demand, revenue, mean price (3), calendar and season flags."""
-    pre = (c.sales.groupBy("sale_date", "product_id")
-           .agg(F.sum("units").alias("demand"), F.sum("value_total").alias("_rev"),
-                F.sum(to_cents("unit_price")).alias("_pc"), F.count("unit_price").alias("_pn")))
-    prod = c.product.select("product_id", F.col("name").alias("product_name"),
-                            F.col("kind").alias("product_kind"))
-    w = D.iso_week("sale_date")
-    return pre.join(prod, "product_id").select(
+    g = g5_exact(c)
+    sd = F.col("sale_date")
+    return g.select(
         "sale_date", "product_id", "product_name", "product_kind", "demand",
         F.col("_rev").cast("double").alias("revenue"),
-        F.when(F.col("_pn") > 0, ratio_half_up(F.col("_pc"), F.col("_pn"), 3, 2)).alias("mean_price"),
-        D.iso_dow("sale_date").alias("day_of_week"),
-        F.month("sale_date").alias("month"),
-        w.alias("iso_week"),
-        F.when(w.between(*D.PEAK1_WEEKS), 1).otherwise(0).alias("flag_peak1"),
-        F.when(w.between(*D.PEAK2_WEEKS), 1).otherwise(0).alias("flag_peak2"),
-    )
+        (F.col("_price_milli") / F.lit(1000.0)).alias("mean_price"),
+        D.iso_dow(sd).alias("day_of_week"), F.month(sd).alias("month"), D.iso_week(sd).alias("iso_week"),
+        "flag_peak1", "flag_peak2")
 
 
 def features_from_raw(roles) -> DataFrame:
