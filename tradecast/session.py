@@ -24,6 +24,33 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster reading ~100 TB (apply with ``cluster_conf()``):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB
+# file splits, skew-join splitting for partitions 5x the median and > 512 MB,
+# and a broadcast threshold well under executor memory (AQE still decides
+# from measured sizes).
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def cluster_conf(builder):
+    """Apply ``CLUSTER_CONF`` to a ``SparkSession.Builder`` (the cluster must
+    also provide ``spark.checkpoint.dir`` on shared storage)."""
+    for k, v in CLUSTER_CONF.items():
+        builder = builder.config(k, v)
+    return builder
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "tradecast") -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off."""
