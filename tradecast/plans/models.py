@@ -54,8 +54,10 @@ def _dataset(c: Cleaned, p: Params) -> DataFrame:
 
 def gbt_forecasts(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     """Test rows with ``pred_gbt`` (mean) and ``pred_quantile`` (0.68)."""
-    data = _dataset(c, p).persist()
-    n_series = data.select(F.countDistinct("series_id")).first()[0]
+    # Training set written once (shared folder): every boosting iteration and
+    # both fits re-read it instead of re-running the feature plan.
+    data = c.cached(f"direct_features_{p.horizons}_{p.first_origin}", lambda: _dataset(c, p))
+    n_series = data.select(F.countDistinct("series_id")).first()[0]  # one number
     max_bins = max(32, int(n_series) + 1)
     fit_set = data.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
     first = _pipeline(max_bins, True, GBT_PARAMS["maxIter"]).fit(fit_set)
