@@ -15,6 +15,7 @@ Plan shape
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -93,7 +94,10 @@ def target_calendar(target: F.Column, p: Params = DEFAULT) -> list[F.Column]:
 
 
 def m2_direct_features(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES_COL) -> DataFrame:
-    return direct_features(t3_dense_panel(c, series_col), p)
+    """The supervised set, materialised once per session (baselines, splits,
+    metrics and the boosted trees all read it)."""
+    tag = hashlib.sha1(f"{series_col}|{p!r}".encode()).hexdigest()[:12]
+    return c.cached(f"direct_features_{tag}", lambda: direct_features(t3_dense_panel(c, series_col), p))
 
 
 def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -202,12 +206,14 @@ def m10_metrics_h12(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     return with_savings(metrics(pl, p))
 
 
-def h12_curve(pred_long: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Per target week (test, h = 12): actual and each model's summed prediction."""
+def h12_curve(pred_long: DataFrame, p: Params = DEFAULT,
+              models: tuple = (MODEL_NAIVE, MODEL_GROWTH)) -> DataFrame:
+    """Per target week (test, h = 12): actual and each model's summed prediction
+    (pivot with explicit values: no extra job to discover them)."""
     h = pred_long.where(F.col("horizon") == p.horizons)
     actual = (h.where(F.col("model") == MODEL_NAIVE).groupBy("target_date")
               .agg(F.sum("y_target").alias("actual"), F.max("window_peak1").alias("window_peak1")))
-    preds = h.groupBy("target_date").pivot("model").agg(F.sum("pred"))
+    preds = h.groupBy("target_date").pivot("model", list(models)).agg(F.sum("pred"))
     return actual.join(preds, "target_date")
 
 

@@ -15,6 +15,8 @@ session's checkpoint folder.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -56,7 +58,8 @@ def gbt_forecasts(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     """Test rows with ``pred_gbt`` (mean) and ``pred_quantile`` (0.68)."""
     # Training set written once (shared folder): every boosting iteration and
     # both fits re-read it instead of re-running the feature plan.
-    data = c.cached(f"direct_features_{p.horizons}_{p.first_origin}", lambda: _dataset(c, p))
+    tag = hashlib.sha1(repr(p).encode()).hexdigest()[:12]
+    data = c.cached(f"gbt_dataset_{tag}", lambda: _dataset(c, p))
     n_series = data.select(F.countDistinct("series_id")).first()[0]  # one number
     max_bins = max(32, int(n_series) + 1)
     fit_set = data.where(F.col("split").isin("train", "val")).withColumn("is_val", F.col("split") == "val")
@@ -108,7 +111,8 @@ def m10_metrics_h12_all(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
 
 def m12_capacity_gbt(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     """Capacity check on the boosted-tree mean forecast (h = 12), as the reference does."""
-    curve = M.h12_curve(all_predictions(c, p), p)
+    curve = M.h12_curve(all_predictions(c, p), p,
+                        (M.MODEL_NAIVE, M.MODEL_GROWTH, M.MODEL_GBT, M.MODEL_QUANTILE))
     cap = M.capacity(c, p)
     k = cap.select(F.struct("capacity_base", "capacity_max")).scalar()
     base, top = k.getField("capacity_base"), k.getField("capacity_max")
