@@ -135,12 +135,18 @@ class Cleaned:
         self.store = store
         self._written: dict[str, str] = {}
 
-    def cached(self, name: str, build) -> DataFrame:
+    def cached(self, name: str, build, cluster_by: str | None = None) -> DataFrame:
+        """``cluster_by``: sort each partition by this column before writing, so
+        parquet row-group min/max statistics let date-range filters skip data
+        (a local sort, no shuffle)."""
         if self.store is None:
             return build()
         if name not in self._written:
             path = f"{self.store}/{name}"
-            build().write.mode("overwrite").parquet(path)
+            df = build()
+            if cluster_by:
+                df = df.sortWithinPartitions(cluster_by)
+            df.write.mode("overwrite").parquet(path)
             self._written[name] = path
         return self.roles.spark.read.parquet(self._written[name])
 
@@ -162,11 +168,11 @@ class Cleaned:
 
     @property
     def sales(self) -> DataFrame:
-        return self.cached("sales", lambda: sales(self.roles.sale_raw, self.customer_map))
+        return self.cached("sales", lambda: sales(self.roles.sale_raw, self.customer_map), "sale_date")
 
     @property
     def movements(self) -> DataFrame:
-        return self.cached("movements", lambda: movements_dedup(self.roles.movement_raw))
+        return self.cached("movements", lambda: movements_dedup(self.roles.movement_raw), "move_date")
 
     @property
     def production(self) -> DataFrame:
