@@ -64,7 +64,7 @@ def g2_segment(r, f, m) -> F.Column:
             .otherwise(F.lit(G2_OTHER)))
 
 
-def g2_customer_rfm(c: Cleaned, method: str = "distributed") -> DataFrame:
+def g2_customer_rfm(c: Cleaned, method: str = "auto") -> DataFrame:
     x = rfm_scores(rfm_base(c, F.col("value_total")), method)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     seg = x.select("customer_id", "recency_days", "frequency",

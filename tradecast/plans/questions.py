@@ -207,7 +207,7 @@ def rfm_base(c: Cleaned, money: F.Column) -> DataFrame:
                     "frequency", "_money"))
 
 
-def rfm_scores(base: DataFrame, method: str = "distributed") -> DataFrame:
+def rfm_scores(base: DataFrame, method: str = "auto") -> DataFrame:
     """Three NTILE(5) scores; recency on descending days so 5 = most recent.
     Ties are broken by customer id so the scores are deterministic."""
     cid = F.col("customer_id").asc()
@@ -217,7 +217,7 @@ def rfm_scores(base: DataFrame, method: str = "distributed") -> DataFrame:
     return x
 
 
-def q15_rfm_basic(c: Cleaned, method: str = "distributed") -> DataFrame:
+def q15_rfm_basic(c: Cleaned, method: str = "auto") -> DataFrame:
     x = rfm_scores(rfm_base(c, line_value()), method)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     seg = F.when(total >= Q15_SEGMENTS[0][0], F.lit(Q15_SEGMENTS[0][1])) \
