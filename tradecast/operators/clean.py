@@ -12,6 +12,9 @@ Scale notes
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,6 +137,8 @@ class Cleaned:
         self.roles = roles
         self.store = store
         self._written: dict[str, str] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def cached(self, name: str, build, cluster_by: str | None = None) -> DataFrame:
         """``cluster_by``: sort each partition by this column before writing, so
@@ -141,15 +146,33 @@ class Cleaned:
         (a local sort, no shuffle)."""
         if self.store is None:
             return build()
-        if name not in self._written:
-            path = f"{self.store}/{name}"
-            df = build()
-            if cluster_by:
-                df = df.sortWithinPartitions(cluster_by)
-            df.write.mode("overwrite").parquet(path)
-            self._written[name] = path
+        with self._lock(name):
+            if name not in self._written:
+                path = f"{self.store}/{name}"
+                df = build()
+                if cluster_by:
+                    df = df.sortWithinPartitions(cluster_by)
+                df.write.mode("overwrite").parquet(path)
+                self._written[name] = path
         return self.roles.spark.read.parquet(self._written[name])
 
+    def _lock(self, name: str) -> threading.Lock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.Lock())
+
+    def materialize(self, waves: list[list] | None = None, workers: int = 4) -> None:
+        """Write the store's tables ahead of the queries.  Tables inside one wave
+        are independent and are submitted as concurrent Spark jobs (small jobs
+        then share the executors instead of queuing); shared dependencies are
+        built once thanks to the per-table locks."""
+        if waves is None:
+            waves = [[lambda: self.customer_map, lambda: self.customer, lambda: self.product,
+                      lambda: self.site, lambda: self.movements, lambda: self.production],
+                     [lambda: self.sales]]
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            for wave in waves:
+                list(pool.map(lambda f: f(), wave))
+
     @property
     def customer_map(self) -> DataFrame:
         return self.cached("customer_map", lambda: customer_map(self.roles.customer_raw))

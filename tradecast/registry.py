@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 
 from tradecast.operators import contracts as CT
 from tradecast.operators import profile as PR
+from tradecast.operators import clean as CL
 from tradecast.operators.clean import Cleaned
 from tradecast.plans import expressions as X
 from tradecast.plans import marts as G
 from tradecast.plans import forecast as M
 from tradecast.plans import measures as B
 from tradecast.plans import timeseries as TS
+from tradecast import streaming as ST
+
+
+def _models():
+    """MLlib plans, imported on first use (pulls in pyspark.ml)."""
+    from tradecast.plans import models
+    return models
 from tradecast.plans import questions as Q
 
 
@@ -102,8 +110,7 @@ def _quality_queries() -> dict[str, Callable]:
     return {
         "clean_customer_map": _c(lambda c: c.customer_map),
         "clean_customer_dim": _c(lambda c: c.customer),
-        "clean_customer_dim_basic": _r(lambda r: __import__("tradecast.operators.clean", fromlist=["x"])
-                                       .customer_dim_basic(r.customer_raw)),
+        "clean_customer_dim_basic": _r(lambda r: CL.customer_dim_basic(r.customer_raw)),
         "clean_dims": _c(lambda c: _dbl(c.site, "area")),
         "clean_sales": _c(lambda c: _dbl(c.sales, "unit_price", "value_total")),
         "clean_movements_dedup": _c(lambda c: c.movements),
@@ -138,7 +145,7 @@ def _quality_queries() -> dict[str, Callable]:
         "fn_round": _r(X.fn_round),
         "src_csv": _r(lambda r: IO.csv_roundtrip(r, "sale")),
         "load_order": _r(IO.load_in_order),
-        "load_stream": _r(lambda r: __import__("tradecast.streaming", fromlist=["x"]).ingest_role(r, "sale")),
+        "load_stream": _r(lambda r: ST.ingest_role(r, "sale")),
         "scan_features": _c(lambda c: G.g5_demand_features(c).orderBy("sale_date", "product_id")),
         "features_rebuild": _r(lambda r: IO.features_source(r.spark, None, lambda: G.features_from_raw(r))),
         "mart_roundtrip": _c(lambda c: IO.materialise(G.g1_sales_monthly(c), "sales_monthly", ["year"])),
@@ -177,12 +184,11 @@ def _series_queries() -> dict[str, Callable]:
         "m11_h12_curve": _c(M.m11_h12_curve),
         "m12_capacity": _c(M.m12_capacity),
         "m13_newsvendor": _c(M.m13_newsvendor),
-        "m7_gbt_mean": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m7_gbt_mean(c)),
-        "m8_quantile": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m8_quantile(c)),
-        "m9_metrics_all": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m9_metrics_all(c)),
-        "m10_metrics_h12_all": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"])
-                                  .m10_metrics_h12_all(c)),
-        "m12_capacity_gbt": _c(lambda c: __import__("tradecast.plans.models", fromlist=["x"]).m12_capacity_gbt(c)),
+        "m7_gbt_mean": _c(lambda c: _models().m7_gbt_mean(c)),
+        "m8_quantile": _c(lambda c: _models().m8_quantile(c)),
+        "m9_metrics_all": _c(lambda c: _models().m9_metrics_all(c)),
+        "m10_metrics_h12_all": _c(lambda c: _models().m10_metrics_h12_all(c)),
+        "m12_capacity_gbt": _c(lambda c: _models().m12_capacity_gbt(c)),
     }
 
 

@@ -12,6 +12,7 @@ so that the join needs no shuffle.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -29,23 +30,37 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock(obj, name: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        locks = obj.__dict__.setdefault("_locks", {})
+        return locks.setdefault(name, threading.Lock())
+
+
 def entity(build):
     """A role property.  With a ``store`` folder the entity is written once as a
     bronze parquet table (shared checkpoint folder) and read back, so the raw
-    joins behind it run once per session instead of once per query."""
+    joins behind it run once per session instead of once per query.  Thread
+    safe: concurrent first uses build it once."""
     name = build.__name__
 
     def prop(self) -> DataFrame:
-        df = build(self)
-        if self.store is None:
-            return df
-        path = f"{self.store}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        with _lock(self, name):
+            memo = self.__dict__.setdefault("_entities", {})
+            if name not in memo:
+                df = build(self)
+                if self.store is not None:
+                    path = f"{self.store}/{name}"
+                    df.write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
+                memo[name] = df
+            return memo[name]
 
     prop.__name__ = name
     prop.__doc__ = build.__doc__
-    return cached_property(prop)
+    return property(prop)
 
 
 @dataclass
