@@ -7,6 +7,7 @@ import datetime as _dt
 import decimal
 import hashlib
 import math
+import os
 
 import duckdb
 
@@ -21,15 +22,18 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = os.environ.get("TRADECAST_STRICT_HASH") == "1"  # exact float repr, no rounding
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return repr(round(v, 9))
+        return repr(v) if STRICT else repr(round(v, 9))
     if isinstance(v, decimal.Decimal):
-        return repr(round(float(v), 9))
+        return repr(float(v)) if STRICT else repr(round(float(v), 9))
     if isinstance(v, _dt.datetime):
         return v.date().isoformat() if v.time() == _dt.time(0) else v.isoformat()
     if isinstance(v, _dt.date):

@@ -47,7 +47,8 @@ def origin_features(panel: DataFrame, horizons: int = 12) -> DataFrame:
     * the lag-52 value is looked up *by date*: a one-point RANGE frame on the day
       number (``rangeBetween(-364, -364)``) returns the demand of the week exactly
       364 days earlier, or NULL if that week was not observed;
-    * targets (date, value, lag-52 of the target) come from ``lead(…, h)``.
+    * targets (date, value, lag-52 of the target) are the next ``horizons`` rows,
+      gathered by one ``collect_list`` over a ``rowsBetween(1, horizons)`` frame.
     """
     day = F.datediff("week_end", F.lit("1970-01-01").cast("date"))
     p = panel.withColumn("_day", day)
@@ -69,15 +70,14 @@ def origin_features(panel: DataFrame, horizons: int = 12) -> DataFrame:
         round_half_up(F.stddev_samp(y).over(frame(-7)), 6).alias("std_8"),
         recent8.alias("_recent8"), last_year8.alias("_last_year8"),
         by_date_52.alias("_y52_here"))
-    leads = [F.struct(F.lit(h).alias("horizon"),
-                      F.lead("week_end", h).over(w).alias("target_date"),
-                      F.lead("demand", h).over(w).alias("y_target"),
-                      F.lead("_y52_here", h).over(w).alias("_y52")) for h in range(1, horizons + 1)]
+    # The next `horizons` rows as one array (a 12-row frame), instead of 36 leads.
+    ahead = F.collect_list(F.struct(F.col("week_end").alias("target_date"), F.col("demand").alias("y_target"),
+                                    F.col("_y52_here").alias("_y52"))).over(w.rowsBetween(1, horizons))
     return base.select(
         "series_id", "idx", "_n_weeks", F.col("week_end").alias("origin_date"), F.col("demand").alias("y_T"),
         "y_T_1", "y_T_2", "y_T_3", "ma_4", "ma_12", "std_8", "_recent8",
         F.when(F.col("idx") >= 59, F.col("_last_year8")).otherwise(F.col("_recent8")).alias("_ly8"),
-        F.array(*leads).alias("_targets"))
+        ahead.alias("_targets"))
 
 
 def target_calendar(target: F.Column, p: Params = DEFAULT) -> list[F.Column]:
@@ -107,7 +107,8 @@ def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
     horizons are exploded last, after every feature is fixed at T."""
     f = origin_features(dense_panel, p.horizons)
     f = f.where((F.col("idx") >= p.first_origin) & (F.col("idx") <= F.col("_n_weeks") - (p.horizons + 1)))
-    rows = f.select("*", F.explode("_targets").alias("_t")).select("*", "_t.*")
+    rows = (f.select("*", F.posexplode("_targets").alias("_pos", "_t"))
+            .select("*", (F.col("_pos") + 1).alias("horizon"), "_t.*"))
     growth = (F.col("_recent8") + F.lit(1.0)) / (F.col("_ly8") + F.lit(1.0))
     return rows.select(
         "series_id", "origin_date", "horizon", "target_date", "y_target",

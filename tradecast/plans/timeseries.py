@@ -84,20 +84,27 @@ def weekly_series(c: Cleaned, series_col: str = "product_color") -> DataFrame:
 def t3_dense_panel(c: Cleaned, series_col: str = "product_color") -> DataFrame:
     """Observed weeks × series: demand 0-filled, revenue and price left NULL.
 
-    No cross join: each series explodes the week range between the global first
-    and last week (scalar subqueries), keeps the weeks observed in any series
-    (semi-join on a table bounded by the calendar) and left-joins its data.
+    No join and no cross join: the weekly rows of each series are grouped into
+    a week → values map (bounded by the number of calendar weeks, not by data
+    volume), the global week range (one scalar subquery) is exploded per
+    series, kept where some series was observed (broadcast semi-join on a
+    calendar-bounded table) and looked up in the map.  The ``groupBy`` leaves
+    the panel hash-partitioned by series, which is exactly what the series
+    windows downstream need, so they add no shuffle.
     """
     wk = weekly_series(c, series_col)
     b = wk.select(F.struct(F.min("week_end").alias("lo"), F.max("week_end").alias("hi"))).scalar()
     lo, hi = b.getField("lo"), b.getField("hi")
     observed = wk.select("week_end").distinct()
-    grid = (wk.select("series_id").distinct()
-            .select("series_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))).alias("week_end"))
-            .join(observed, "week_end", "left_semi"))
-    return grid.join(wk, ["week_end", "series_id"], "left").select(
-        "week_end", "series_id", F.coalesce("demand", F.lit(0).cast("long")).alias("demand"),
-        "revenue", "mean_price")
+    per_series = wk.groupBy("series_id").agg(F.map_from_entries(F.collect_list(
+        F.struct("week_end", F.struct("demand", "revenue", "mean_price")))).alias("_m"))
+    grid = (per_series.select("series_id", "_m",
+                              F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))).alias("week_end"))
+            .join(F.broadcast(observed), "week_end", "left_semi"))
+    v = F.try_element_at(F.col("_m"), F.col("week_end"))
+    return grid.select("week_end", "series_id",
+                       F.coalesce(v.getField("demand"), F.lit(0).cast("long")).alias("demand"),
+                       v.getField("revenue").alias("revenue"), v.getField("mean_price").alias("mean_price"))
 
 
 def e1_rolling8(c: Cleaned) -> DataFrame:
