@@ -173,3 +173,10 @@ SQL = {
         CASE WHEN window_peak1 = 1 THEN 0.6e0 ELSE 0.35e0 END / (CASE WHEN window_peak1 = 1 THEN 0.6e0 ELSE 0.35e0 END + 0.28e0) AS alpha
         FROM f_curve"""),
 }
+
+# Per-product panels: the same SQL with the product key as the series.
+_BY_PRODUCT = ("CAST(product_color AS VARCHAR) AS series_id", "CAST(product_id AS VARCHAR) AS series_id")
+SQL["t3_dense_panel_by_product"] = SQL["t3_dense_panel"].replace(*_BY_PRODUCT)
+# Exact SQL twin of the per-product supervised set (millions of rows at sf0.01):
+# kept out of the driver's gate, compared in full at sf0.001 by tests/test_scale_paths.py.
+SLOW_SQL = {"m2_direct_features_by_product": SQL["m2_direct_features"].replace(*_BY_PRODUCT)}

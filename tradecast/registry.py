@@ -166,6 +166,7 @@ def _series_queries() -> dict[str, Callable]:
         "t2_weekly_global": _c(TS.t2_weekly_global),
         "t2_weekly_product": _c(TS.t2_weekly_product),
         "t3_dense_panel": _c(TS.t3_dense_panel),
+        "t3_dense_panel_by_product": _c(lambda c: TS.t3_dense_panel(c, "product_id")),
         "e1_rolling8": _c(TS.e1_rolling8),
         "e2_adf": _c(TS.e2_adf),
         "e2_adf_by_series": _c(lambda c: TS.e2_adf(c, "product_color")),
@@ -175,6 +176,7 @@ def _series_queries() -> dict[str, Callable]:
         "e5_product_share_top15": _c(TS.e5_product_share_top),
         "m1_festival_calendar": _c(M.m1_festival_calendar),
         "m2_direct_features": _c(M.m2_direct_features),
+        "m2_direct_features_by_product": _c(lambda c: M.m2_direct_features(c, series_col="product_id")),
         "m3_target_calendar": _c(M.m3_target_calendar),
         "m4_time_split": _c(M.m4_time_split),
         "m5_seasonal_naive": _c(M.m5_seasonal_naive),
