@@ -93,11 +93,16 @@ def target_calendar(target: F.Column, p: Params = DEFAULT) -> list[F.Column]:
             F.when(d2.between(p.window_lo, p.window_hi), 1).otherwise(0).alias("window_peak2")]
 
 
-def m2_direct_features(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES_COL) -> DataFrame:
-    """The supervised set, materialised once per session (baselines, splits,
-    metrics and the boosted trees all read it)."""
+def m2_direct_features(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES_COL,
+                       materialize: bool = True) -> DataFrame:
+    """The supervised set.  Materialised once per session when it is reused
+    (baselines, splits, metrics and the boosted trees all read it); a one-off
+    use (``materialize=False``) streams straight to its consumer."""
+    build = lambda: direct_features(t3_dense_panel(c, series_col), p)
+    if not materialize:
+        return build()
     tag = hashlib.sha1(f"{series_col}|{p!r}".encode()).hexdigest()[:12]
-    return c.cached(f"direct_features_{tag}", lambda: direct_features(t3_dense_panel(c, series_col), p))
+    return c.cached(f"direct_features_{tag}", build)
 
 
 def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:

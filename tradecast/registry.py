@@ -176,7 +176,8 @@ def _series_queries() -> dict[str, Callable]:
         "e5_product_share_top15": _c(TS.e5_product_share_top),
         "m1_festival_calendar": _c(M.m1_festival_calendar),
         "m2_direct_features": _c(M.m2_direct_features),
-        "m2_direct_features_by_product": _c(lambda c: M.m2_direct_features(c, series_col="product_id")),
+        "m2_direct_features_by_product": _c(lambda c: M.m2_direct_features(c, series_col="product_id",
+                                                                           materialize=False)),
         "m3_target_calendar": _c(M.m3_target_calendar),
         "m4_time_split": _c(M.m4_time_split),
         "m5_seasonal_naive": _c(M.m5_seasonal_naive),
