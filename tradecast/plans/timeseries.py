@@ -54,7 +54,12 @@ def t1_daily_dense(c: Cleaned) -> DataFrame:
 
 def t2_weekly_global(c: Cleaned) -> DataFrame:
     """Sunday-ending weeks of the dense daily series; the price is the mean of
-    the daily prices, zero days included."""
+    the daily prices, zero days included.  Materialised once per session: the
+    exploratory statistics (E1–E4) all start from it."""
+    return c.cached("weekly_global", lambda: _t2_weekly_global(c))
+
+
+def _t2_weekly_global(c: Cleaned) -> DataFrame:
     d = t1_daily_dense(c)
     return (d.groupBy(D.week_end_sunday("date").alias("week_end"))
             .agg(F.sum("demand").alias("demand"),
