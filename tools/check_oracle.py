@@ -23,6 +23,10 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     filt = sys.argv[2:]
     spark = get_session(shuffle_partitions=8)
+    # e.g. TRADECAST_EXTRA_CONF="spark.sql.ansi.enabled=false,spark.sql.session.timeZone=Asia/Tokyo"
+    for kv in filter(None, os.environ.get("TRADECAST_EXTRA_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     con = duck(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
