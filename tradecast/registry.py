@@ -1,30 +1,34 @@
-"""Query registry: key -> callable(spark, sf_dir) -> DataFrame, and key -> oracle SQL."""
+"""Query registry: key -> callable(spark, sf_dir) -> DataFrame, and key -> oracle SQL.
+
+Every callable reads the driver tables under ``sf_dir`` through the session's
+medallion store (bronze entities, silver tables, shared gold marts), which is
+written once per Spark application into the shared checkpoint folder.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
+from tradecast import streaming as ST
+from tradecast.operators import clean as CL
 from tradecast.operators import contracts as CT
 from tradecast.operators import profile as PR
-from tradecast.operators import clean as CL
 from tradecast.operators.clean import Cleaned
 from tradecast.plans import expressions as X
-from tradecast.plans import marts as G
 from tradecast.plans import forecast as M
+from tradecast.plans import marts as G
 from tradecast.plans import measures as B
+from tradecast.plans import questions as Q
 from tradecast.plans import timeseries as TS
-from tradecast import streaming as ST
 
 
 def _models():
     """MLlib plans, imported on first use (pulls in pyspark.ml)."""
     from tradecast.plans import models
     return models
-from tradecast.plans import questions as Q
 
 
 _SILVER: dict[tuple[str, str], Cleaned] = {}
@@ -197,33 +201,18 @@ def _series_queries() -> dict[str, Callable]:
 
 def queries() -> dict[str, Callable]:
     out: dict[str, Callable] = {}
-    out.update(_series_queries())
-    out.update(_measure_queries())
-    out.update(_question_queries())
-    out.update(_mart_queries())
-    out.update(_quality_queries())
-    try:
-        from tradecast.registry_more import more_queries
-        out.update(more_queries())
-    except ImportError:
-        pass
+    for part in (_question_queries, _mart_queries, _quality_queries, _measure_queries, _series_queries):
+        out.update(part())
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     from tradecast.oracle import marts as OG
-    from tradecast.oracle import questions as OQ
-    from tradecast.oracle import quality as OX
-    out = dict(OQ.SQL)
-    out.update(OG.SQL)
-    out.update(OX.SQL)
     from tradecast.oracle import measures as OB
-    out.update(OB.SQL)
+    from tradecast.oracle import quality as OX
+    from tradecast.oracle import questions as OQ
     from tradecast.oracle import series as OS
-    out.update(OS.SQL)
-    try:
-        from tradecast.registry_more import more_oracle
-        out.update(more_oracle())
-    except ImportError:
-        pass
+    out: dict[str, str] = {}
+    for part in (OQ.SQL, OG.SQL, OX.SQL, OB.SQL, OS.SQL):
+        out.update(part)
     return out
