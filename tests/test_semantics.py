@@ -7,9 +7,7 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradecast.functions import dates as D
 from tradecast.functions.numeric import ratio_half_up, round_half_up
