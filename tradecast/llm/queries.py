@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import mixing, shard
+from tradecast.llm import langid, mixing, shard, toxicity
 from tradecast.llm.common import table
 
 
@@ -18,8 +18,16 @@ def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op5_sainte_lague_mix)}
+    return {f.__name__: f for f in (op1_minimax_shards, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
