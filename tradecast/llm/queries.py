@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import langid, mixing, shard, toxicity
+from tradecast.llm import langid, mixing, quality, shard, toxicity
 from tradecast.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.minimax_shards(table(spark, sf_dir, "documents"), 8)
 
 
+def op2_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id)}
+    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
