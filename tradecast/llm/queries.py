@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import langid, mixing, quality, shard, toxicity
+from tradecast.llm import langid, mixing, quality, shard, sketch, toxicity
 from tradecast.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id)}
+    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op4_scaled_sketch, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
