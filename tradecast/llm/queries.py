@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import langid, mixing, quality, shard, sketch, toxicity
+from tradecast.llm import bpe, langid, mixing, quality, shard, sketch, toxicity
 from tradecast.llm.common import table
 
 
@@ -34,8 +35,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op4_scaled_sketch, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id)}
+    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op4_scaled_sketch, op5_sainte_lague_mix, op7_toxicity_gbt, op9_language_id, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
