@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +78,28 @@ def _grams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": lang, "k": k, "gram": list(c.keys()), "n": list(c.values())})
 
 
+def _frequent(counts: DataFrame, most: int) -> DataFrame:
+    """For each (``lang``, ``k``), the entries whose count ``n`` is so high that
+    no more than ``most`` have it.  The cut is read off a histogram of about a
+    thousand steps, so no task ranks a language's entries."""
+    step = F.when(F.col("n") < 500, F.col("n")).otherwise(F.floor(F.log(F.col("n").cast("double")) * 100)).cast("int")
+    stepped = counts.withColumn("step", step)
+    sizes: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for r in stepped.groupBy("lang", "k", "step").agg(F.count("*").alias("m")).collect():
+        sizes.setdefault((r["lang"], r["k"]), []).append((r["step"], r["m"]))
+    keep = F.lit(False)
+    for (lang, k), steps in sizes.items():
+        left, low = most, None
+        for at, m in sorted(steps, reverse=True):
+            left -= m
+            if left < 0:
+                break
+            low = at
+        if low is not None:
+            keep = keep | ((F.col("lang") == lang) & (F.col("k") == k) & (F.col("step") >= low))
+    return stepped.where(keep)
+
+
 def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Fits on rows (``doc_id``, ``text``, ``lang``) with neither null, on about
     ``train_rows`` documents of each language, chosen by a hash of the id."""
@@ -98,10 +120,8 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
              .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))).persist()
     totals = {(r["lang"], 0): r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     totals |= {(r["lang"], r["k"]): r["n"] for r in grams.groupBy("lang", "k").agg(F.sum("n").alias("n")).collect()}
-    w = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top_words = words.where("n > 1").withColumn("r", F.row_number().over(w)).where(F.col("r") <= TOP_WORDS)
-    g = Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram")
-    top_grams = grams.withColumn("r", F.row_number().over(g)).where(F.col("r") <= TOP_GRAMS)
+    top_words = _frequent(words.where("n > 1").withColumn("k", F.lit(0)), TOP_WORDS)
+    top_grams = _frequent(grams, TOP_GRAMS)
     # at most TOP_WORDS + 4 * TOP_GRAMS entries per language
     known = [(r["lang"], 0, r["word"], r["n"]) for r in top_words.collect()]
     known += [(r["lang"], r["k"], r["gram"], r["n"]) for r in top_grams.collect()]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import bpe, langid, mixing, nearest, quality, shard, sketch, toxicity
+from tradecast.llm import bpe, jaccard, langid, mixing, nearest, quality, shard, sketch, toxicity
 from tradecast.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.join_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +49,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op4_scaled_sketch, op5_sainte_lague_mix, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op4_scaled_sketch, op5_sainte_lague_mix, op6_ngram_jaccard_join, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
