@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import bpe, jaccard, langid, mixing, nearest, quality, shard, sketch, toxicity
+from tradecast.llm import bpe, jaccard, langid, lm, mixing, nearest, quality, shard, sketch, toxicity
 from tradecast.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_zstd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op4_scaled_sketch, op5_sainte_lague_mix, op6_ngram_jaccard_join, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op3_attention_lm, op4_scaled_sketch, op5_sainte_lague_mix, op6_ngram_jaccard_join, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -42,8 +42,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word (ASCII lower case), and the text it is in."""
+def word_hashes(texts: list[bytes], spans: bool = False) -> tuple[np.ndarray, ...]:
+    """Hash of every word (ASCII lower case), and the text it is in; with
+    ``spans`` also all bytes (blanks made spaces), and where words start and end."""
     joined = b"\n".join(texts).lower() + b"\n"
     buf = np.frombuffer(joined, np.uint8)
     blank = _BLANK[buf]
@@ -54,7 +55,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum(_BYTE[buf] * up[:len(buf)], out=total[1:])
     h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
     bounds = np.cumsum([len(t) + 1 for t in texts])
-    return h, np.searchsorted(bounds, start, side="right")
+    doc = np.searchsorted(bounds, start, side="right")
+    return (h, doc, np.where(blank, np.uint8(32), buf), start, end) if spans else (h, doc)
 
 
 def _of_batch(texts: list[bytes]) -> list[np.ndarray]:
