@@ -14,16 +14,14 @@ import base64
 import heapq
 import json
 import zlib
-from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradecast.llm.common import saved
+from tradecast.llm.common import map_texts, saved
 from tradecast.llm.sketch import let
 
 SAMPLE_ROWS = 20_000   # documents whose words fill the table, about
@@ -144,18 +142,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bo
     table = saved(fold_words(frequent_words(docs, pattern), ranks), "bpe-words")
     known = {r["word"]: list(r["ids"]) for r in table.collect()}  # TABLE_WORDS at most
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, known))
-    docs = docs.drop("ids")
-    kept = docs if keep_text else docs.drop("text")
-    names = kept.columns
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         e = _Encoder(*shared.value)
-        for p in parts:
-            for at in range(0, len(p), 500):  # ids of so many documents at a time
-                q = p.iloc[at:at + 500]
-                yield q[names].assign(ids=[e.ids(t) for t in q["text"]])
+        return lambda texts: [[e.ids(t) for t in texts]]
 
-    return docs.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return map_texts(docs, {"ids": T.ArrayType(T.IntegerType())}, start, keep_text)
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradecast.session import scratch_dir
 
@@ -35,6 +39,43 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_AT_ONCE = 500  # texts turned to Python strings at a time
+
+
+def map_texts(docs: DataFrame, new: dict[str, T.DataType], start: Callable[[], Callable[[list], list]], keep_text: bool = True) -> DataFrame:
+    """Adds the columns ``new`` to the rows of ``docs``, computed from ``text``
+    in Python.  ``start`` is called once in a task and gives the function from a
+    list of texts to a list of values for each new column.  Other columns pass
+    through as Arrow arrays, untouched; those named like a new one go."""
+    docs = docs.drop(*new)
+    kept = docs if keep_text else docs.drop("text")
+    names, schema = kept.columns, T.StructType([*kept.schema.fields, *(T.StructField(k, v) for k, v in new.items())])
+    kinds = [_ARROW[v.simpleString()] for v in new.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = start()
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(at, ROWS_AT_ONCE)
+                values = f(b.column("text").to_pylist())
+                arrays = [b.column(n) for n in names] + [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, *new])
+
+    return docs.mapInArrow(run, schema)
+
+
+_ARROW = {"string": pa.string(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32())}
+
+
+def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``used`` under names that clash with none,
+    and the way back to the columns and names of ``docs``."""
+    names = docs.columns
+    alias = {c: c if c in used else f"_column_{i}" for i, c in enumerate(names)}
+    out = docs.toDF(*[alias[c] for c in names])
+    return out, lambda df: df.select(*[F.col(alias[c]).alias(c) for c in names])
+
+
 def ordered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """``df`` in a total order, written to the shared folder with ``_pid`` (the
     range it fell in; ranges follow the order) and ``_idx`` (gapless position

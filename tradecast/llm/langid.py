@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradecast.llm.common import fold_of
+from tradecast.llm.common import fold_of, map_texts
 
 TRAIN_ROWS = 20_000   # documents per language the model is fitted on, about
 TOP_WORDS = 20_000    # known words per language
@@ -187,18 +187,12 @@ def predict(docs: DataFrame, model: Model, keep_text: bool = True) -> DataFrame:
     share of the likelihood, with ten words' evidence at most.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: see ``fit``
-    docs = docs.drop("lang_pred", "score")
-    kept = docs if keep_text else docs.drop("text")
-    names = kept.columns
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         scorer = _Scorer(shared.value)
-        for p in parts:
-            out = [scorer.predict(t) for t in p["text"]]
-            yield p[names].assign(lang_pred=[x for x, _ in out], score=[y for _, y in out])
+        return lambda texts: list(zip(*map(scorer.predict, texts), strict=True))
 
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInPandas(run, schema)
+    return map_texts(docs, {"lang_pred": T.StringType(), "score": T.DoubleType()}, start, keep_text)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -127,7 +127,8 @@ def score(docs: DataFrame) -> DataFrame:
     an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
+    no_id = F.lit((1 << 63) - 1)  # pandas has no null integers
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("doc_id"), "text", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"))
     parameters = fit(rows.where(~F.col("held_out")))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / CHUNK_BYTES))
@@ -194,7 +195,7 @@ def score(docs: DataFrame) -> DataFrame:
 
     fields = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     scored = base.groupBy("chunk").cogroup(counted.groupBy("to")).applyInPandas(finish, fields)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+    return scored.select(F.nullif("doc_id", no_id).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _class_sums(sent: DataFrame) -> np.ndarray:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradecast.llm.common import BLANK, WORD, n_words, ordered
+from tradecast.llm.common import BLANK, WORD, n_words, ordered, shielded
 
 WEIGHTS = (5, 2, 1)   # repeating over the sources by code point, null last
 MAX_REPEAT = 3
@@ -191,7 +191,7 @@ def mix_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
     row's text holds the words of the taken blocks (with the blanks before
     them) and ``n_chars``, if there, their length; else the text is unchanged.
     Documents without words are never taken."""
-    columns = docs.columns
+    docs, back = shielded(docs, ("doc_id", "source", "text", "n_chars"))
     planned, length = plan_mix(_sized(docs), shards, seed)
     part = F.col("_taken") - _rounds() * F.col("_size")
     rounds = planned.withColumn("_part", part).withColumn(
@@ -202,6 +202,6 @@ def mix_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
     kept = F.array_join(F.filter(pieces, lambda _, i: _chosen(F.floor((F.col("_start") + i) / length).cast("long"))), "")
     cut = F.col("_last") & (F.col("_part") < F.col("_size"))
     rounds = rounds.withColumn("text", F.when(cut, kept).otherwise(F.col("text")))
-    if "n_chars" in columns:
+    if "n_chars" in docs.columns:
         rounds = rounds.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rounds.select(*columns)
+    return back(rounds)

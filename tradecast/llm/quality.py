@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradecast.llm.common import fold_of, saved
+from tradecast.llm.common import fold_of, map_texts, saved
 from tradecast.llm.labels import FOLDS, training_labels
 
 TRAIN_ROWS = 60_000       # labelled documents that the model is fitted on, about
@@ -117,16 +117,12 @@ def score(rows: DataFrame, labels: DataFrame, column: str = "quality") -> DataFr
         return rows.drop("text").withColumn("score", F.lit(share))
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((build_dictionary(bad), build_dictionary(good)))
-    kept = rows.drop("text")
-    names = kept.columns
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         c = _Compressor(shared.value)
-        for p in parts:
-            yield p[names].assign(difference=[c.difference(t) for t in p["text"]])
+        return lambda texts: [[c.difference(t) for t in texts]]
 
-    schema = T.StructType([*kept.schema.fields, T.StructField("difference", T.DoubleType())])
-    measured = saved(rows.mapInPandas(run, schema), "quality-measured")
+    measured = saved(map_texts(rows, {"difference": T.DoubleType()}, start, keep_text=False), "quality-measured")
     # a quarter of TRAIN_ROWS, two numbers each
     held = measured.select(F.col("doc_id").alias("_id"), "difference").join(
         F.broadcast(known.where(F.col("fold") == CALIBRATION_FOLD)), F.col("_id") == F.col("doc_id")).select("difference", "label").toPandas()

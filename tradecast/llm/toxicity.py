@@ -21,8 +21,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tradecast.llm.common import fold_of, saved
+from tradecast.llm.common import fold_of, map_texts, saved
 from tradecast.llm.labels import FOLDS, training_labels
 
 TRAIN_ROWS = 60_000   # labelled documents that the model is fitted on, about
@@ -83,8 +84,8 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
     odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
     error = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    found = (found.withColumn("w", odds).where((F.col("a") >= 3) & (F.col("w") > 1.0) & (F.col("w") > 2.5 * error))
-             .withColumn("gain", F.col("a") * F.col("w")))
+    found = saved(found.withColumn("w", odds).where((F.col("a") >= 3) & (F.col("w") > 1.0) & (F.col("w") > 2.5 * error))
+                  .withColumn("gain", F.col("a") * F.col("w")), "toxicity-terms")
     starts = F.col("term").endswith("*")
     top = [found.where(kind).orderBy(F.desc("gain"), "term").limit(LEXICON) for kind in (starts, ~starts)]
     return {r["term"]: r["w"] for r in top[0].unionByName(top[1]).collect()}
@@ -138,18 +139,15 @@ class _Features:
             len(mixed) / n, repeated.sum() / n, float(behind), math.log(n)]
 
 
-def features(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """Replaces ``text`` by ``features``; the other columns are kept."""
+def features(rows: DataFrame, lexicon: dict[str, float], keep_text: bool = False) -> DataFrame:
+    """Adds ``features``; the text goes unless kept, the other columns stay."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicon)  # LEXICON entries of two kinds
-    kept = [c for c in rows.columns if c != "text"]
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         f = _Features(shared.value)
-        for p in parts:
-            yield p[kept].assign(features=[f.of(t) for t in p["text"]])
+        return lambda texts: [[f.of(t) for t in texts]]
 
-    fields = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in rows.select(*kept).schema)
-    return rows.mapInPandas(run, f"{fields}, features array<double>")
+    return map_texts(rows, {"features": T.ArrayType(T.DoubleType())}, start, keep_text)
 
 
 def _raw(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
@@ -157,9 +155,9 @@ def _raw(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
         "raw", vector_to_array("probability")[1]).drop("vector", "rawPrediction", "probability", "prediction")
 
 
-def score(rows: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
-    """Adds ``score`` to the rows (``doc_id``, ``text`` and columns to keep; the
-    text is dropped), learnt from the rows with labels outside fold 0.
+def score(rows: DataFrame, labels: DataFrame, column: str = "toxic", keep_text: bool = False) -> DataFrame:
+    """Adds ``score`` to the rows (``doc_id``, ``text`` and columns to keep),
+    learnt from the rows with labels outside fold 0.
 
     A null text counts as empty and is scored like one.  If one of the classes
     has no labelled text, every score is the smoothed share of label 1.
@@ -169,7 +167,7 @@ def score(rows: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFram
     # about TRAIN_ROWS rows of two numbers
     labelled = texts.join(F.broadcast(known), texts["_id"] == known["doc_id"])
     lexicon = learn_lexicon(labelled.where(F.col("fold") != CALIBRATION_FOLD))
-    table = saved(features(rows, lexicon), "toxicity-features")
+    table = saved(features(rows, lexicon, keep_text), "toxicity-features")
     train = table.select(F.col("doc_id").alias("_id"), "features").join(F.broadcast(known), F.col("_id") == known["doc_id"]).select(
         "features", "fold", F.col("label").cast("double").alias("label"))
     train = saved(train, "toxicity-training")
