@@ -29,7 +29,7 @@ from tradecast.llm.labels import FOLDS, training_labels
 TRAIN_ROWS = 60_000   # labelled documents that the model is fitted on, about
 LEXICON = 256         # entries of each kind
 CALIBRATION_FOLD = 4  # folds 1 to 3 fit lexicon and trees
-TREES, DEPTH, STEP = 20, 4, 0.3
+TREES, DEPTH, STEP, LEAST_ROWS = 30, 3, 0.2, 10
 NEAR = 5              # words
 MEMO = 300_000        # words a task remembers
 
@@ -178,7 +178,7 @@ def score(rows: DataFrame, labels: DataFrame, column: str = "toxic", keep_text:
         return table.drop("features").withColumn("score", F.lit((pos + 1) / (pos + neg + 2)))
     fit = train.where(F.col("fold") != CALIBRATION_FOLD).withColumn("vector", array_to_vector("features"))
     trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP,
-                          minInstancesPerNode=5, seed=7).fit(fit.select("vector", "label"))
+                          minInstancesPerNode=LEAST_ROWS, seed=7).fit(fit.select("vector", "label"))
     scored = _raw(trees, table).drop("features")
     if not have.get((1.0, True)) or not have.get((0.0, True)):
         return scored.withColumnRenamed("raw", "score")
