@@ -224,9 +224,11 @@ def _links(sets: DataFrame) -> DataFrame:
     family = saved(components(edges, "jaccard-families"), "jaccard-family")
     inside = sets.select("digest", "n", "tokens").join(family, sets["digest"] == family["node"]).drop("node")
     # heavy families are split into blocks; a pair of blocks is a task's group
-    weight = inside.groupBy(F.col("root").alias("_root")).agg(
-        F.ceil(F.sum(F.size("tokens")) / BLOCK_HASHES).cast("int").alias("blocks"))
-    blocked = inside.join(weight, inside["root"] == weight["_root"]).withColumn("block", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
+    heavy = inside.groupBy(F.col("root").alias("_root")).agg(
+        F.ceil(F.sum(F.size("tokens")) / BLOCK_HASHES).cast("int").alias("_blocks")).where("_blocks > 1")
+    # broadcast: no more rows than blocks of shared shingles
+    blocked = inside.join(F.broadcast(heavy), inside["root"] == heavy["_root"], "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1)))
+    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
     dealt = blocked.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "root", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "digest", "n", "tokens")
 
@@ -239,7 +241,9 @@ def _links(sets: DataFrame) -> DataFrame:
         links = search(p["n"].to_numpy(), [np.asarray(t, np.int64) for t in p["tokens"]], first)
         return pd.DataFrame([(digest[i], digest[j]) for i, j in links], columns=["a", "b"])
 
-    return dealt.groupBy("root", "lo", "hi").applyInPandas(run, "a binary, b binary")
+    # the search is long for its bytes: partitions aren't coalesced by size
+    tasks = 2 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "root", "lo", "hi").groupBy("root", "lo", "hi").applyInPandas(run, "a binary, b binary")
 
 
 def join_components(docs: DataFrame) -> DataFrame:
