@@ -70,6 +70,22 @@ def site_dim(site: DataFrame, product: DataFrame) -> DataFrame:
         .select("site_id", "code", "area", "product_id", "product_name", "product_kind", "product_color")
 
 
+def store_room_dim(store_room: DataFrame) -> DataFrame:
+    return store_room.select("store_room_id", F.trim("code").alias("code"), "target_temp", "capacity")
+
+
+def carrier_dim(carrier: DataFrame) -> DataFrame:
+    return carrier.select("carrier_id", F.trim("name").alias("name"), F.trim("iata").alias("iata"))
+
+
+def forwarder_dim(forwarder: DataFrame) -> DataFrame:
+    return forwarder.select("forwarder_id", F.trim("name").alias("name"), F.trim("country").alias("country"))
+
+
+def shipments(shipment: DataFrame) -> DataFrame:
+    return shipment.select("shipment_id", "ship_date", "order_id", "carrier_id", "forwarder_id", "awb", "weight")
+
+
 def product_price_means(sale_raw: DataFrame) -> DataFrame:
     """Per product: exact sum of known prices (thousandths) and their count."""
     return (sale_raw.where(F.col("unit_price").isNotNull())
@@ -85,11 +101,14 @@ def sales(sale_raw: DataFrame, cmap: DataFrame) -> DataFrame:
     * ``value_total`` = ROUND(units * COALESCE(price, product mean), 2) — uses the
       *unrounded* price, decimal(18,2)
     Every raw row is kept (left joins); a product without any price stays NULL.
+    Only rows without a price meet the product means; the others stay where
+    they are.
     """
     means = product_price_means(sale_raw)
-    s = (sale_raw
-         .join(cmap.select("customer_id", "canonical_id"), "customer_id", "left")
-         .join(means, "product_id", "left"))
+    priced = sale_raw.where(F.col("unit_price").isNotNull()).select(
+        "*", F.lit(None).cast("long").alias("price_milli_sum"), F.lit(None).cast("long").alias("price_n"))
+    unpriced = sale_raw.where(F.col("unit_price").isNull()).join(means, "product_id", "left")
+    s = priced.unionByName(unpriced).join(cmap.select("customer_id", "canonical_id"), "customer_id", "left")
     known = F.col("unit_price").isNotNull()
     milli = to_milli("unit_price")
     # Known price (most rows): half-up to cents in long arithmetic.  Imputed rows
@@ -197,6 +216,22 @@ class Cleaned:
     def movements(self) -> DataFrame:
         return self.cached("movements", lambda: movements_dedup(self.roles.movement_raw), "move_date")
 
+    @property
+    def store_room(self) -> DataFrame:
+        return self.cached("store_room", lambda: store_room_dim(self.roles.store_room))
+
+    @property
+    def carrier(self) -> DataFrame:
+        return self.cached("carrier", lambda: carrier_dim(self.roles.carrier))
+
+    @property
+    def forwarder(self) -> DataFrame:
+        return self.cached("forwarder", lambda: forwarder_dim(self.roles.forwarder))
+
+    @property
+    def shipments(self) -> DataFrame:
+        return self.cached("shipments", lambda: shipments(self.roles.shipment), "ship_date")
+
     @property
     def production(self) -> DataFrame:
         return self.cached("production", lambda: self.roles.production)

@@ -73,7 +73,8 @@ SPECS: dict[str, TableSpec] = {
     "shipment": TableSpec(
         not_null=["shipment_id", "ship_date", "order_id", "carrier_id", "weight"],
         positive=["weight"], unique=[["shipment_id"], ["awb"]],
-        fk={"carrier_id": ("carrier", "carrier_id"), "forwarder_id": ("forwarder", "forwarder_id")},
+        fk={"order_id": ("sale", "order_id"), "carrier_id": ("carrier", "carrier_id"),
+            "forwarder_id": ("forwarder", "forwarder_id")},
         width={"awb": 15}, decimal_fit={"weight": (8, 2)}),
 }
 
@@ -154,7 +155,7 @@ def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     for t, s in SPECS.items():
         for col, (rt, rc) in s.fk.items():
             vals = tables[t].where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_k")).count()
-            ref = tables[rt].select(F.col(rc).alias("_k"))
+            ref = tables[rt].select(F.col(rc).alias("_k")).distinct()
             orphans = vals.join(ref, "_k", "left_anti")
             out.append(orphans.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("orphan_rows"),
                                    F.count("*").cast("long").alias("orphan_keys"))

@@ -25,13 +25,9 @@ from pyspark.sql import functions as F
 from tradecast.functions.numeric import int_div
 from tradecast.session import scratch_dir
 
-# Above this many rows the single-partition window is replaced by the range form
-# (a window partition of up to a million narrow rows fits one task comfortably).
-DIST_NTILE_MIN_ROWS = 1_000_000
-
 
 def window_ntile(df: DataFrame, n: int, order: list[Column], out: str) -> DataFrame:
-    """Reference form: one unpartitioned window (single partition)."""
+    """One unpartitioned window (a single task): the tests compare against it."""
     return df.withColumn(out, F.ntile(n).over(Window.orderBy(*order)))
 
 
@@ -64,13 +60,7 @@ def dist_ntile(df: DataFrame, n: int, order: list[Column], out: str) -> DataFram
             .select(*cols, bucket.cast("int").alias(out)))
 
 
-def ntile(df: DataFrame, n: int, order: list[Column], out: str, method: str = "auto",
-          max_window_rows: int = DIST_NTILE_MIN_ROWS) -> DataFrame:
-    """``auto`` checks the size first (one count over the already-aggregated
-    input): up to ``max_window_rows`` the single-partition window is cheapest;
-    beyond it the range-partitioned ``dist_ntile`` takes over."""
-    if method == "window":
-        return window_ntile(df, n, order, out)
-    if method == "auto" and df.count() <= max_window_rows:
-        return window_ntile(df, n, order, out)
-    return dist_ntile(df, n, order, out)
+def ntile(df: DataFrame, n: int, order: list[Column], out: str, method: str = "distributed") -> DataFrame:
+    """The same plan at every size; ``method="window"`` is the form that the
+    tests compare it with."""
+    return window_ntile(df, n, order, out) if method == "window" else dist_ntile(df, n, order, out)

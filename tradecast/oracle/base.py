@@ -17,12 +17,17 @@ def initcap(x: str) -> str:
             "lambda r: upper(substr(r, 1, 1)) || substr(r, 2)), '')")
 
 
+# Spellings of the United States, and patterns with the country they stand for.
+USA_SPELLINGS = ["USA", "ESTADOS UNIDOS"]
+COUNTRY_PATTERNS = [("Pa%ses Bajos", "Países Bajos"), ("Espa%a", "España"), ("Canad%", "Canadá"),
+                    ("Reino Unido", "Reino Unido"), ("Rusia", "Rusia")]
+
+
 def canon_country(x: str) -> str:
     ic = initcap(f"trim({x})")
-    return (f"CASE WHEN upper(replace(trim({x}), '.', '')) IN ('USA', 'ESTADOS UNIDOS') THEN 'USA' "
-            f"WHEN {ic} LIKE 'Pa%ses Bajos' THEN 'Países Bajos' WHEN {ic} LIKE 'Espa%a' THEN 'España' "
-            f"WHEN {ic} LIKE 'Canad%' THEN 'Canadá' WHEN {ic} = 'Reino Unido' THEN 'Reino Unido' "
-            f"WHEN {ic} = 'Rusia' THEN 'Rusia' ELSE {ic} END")
+    usa = ", ".join(f"'{s}'" for s in USA_SPELLINGS)
+    rules = " ".join(f"WHEN {ic} LIKE '{pattern}' THEN '{name}'" for pattern, name in COUNTRY_PATTERNS)
+    return f"CASE WHEN upper(replace(trim({x}), '.', '')) IN ({usa}) THEN 'USA' {rules} ELSE {ic} END"
 
 
 def half_up_units(num: str, den: str, digits: int = 0, num_scale: int = 0) -> str:
@@ -64,7 +69,7 @@ ROLE_CTES: dict[str, str] = {
         CAST((n_nationkey + 1) * 100 AS INTEGER) AS capacity FROM nation""",
     "r_carrier": """SELECT r_regionkey AS carrier_id, r_name AS name, 'C' || CAST(r_regionkey AS VARCHAR) AS iata FROM region""",
     "r_forwarder": """SELECT n_nationkey AS forwarder_id, n_name AS name, CAST(n_regionkey AS VARCHAR) AS country
-        FROM nation WHERE n_nationkey < 9""",
+        FROM nation""",
     "r_customer_base": """SELECT c.c_custkey AS k, c.c_name, c.c_mktsegment,
         CASE WHEN n.n_nationkey <> 1 THEN n.n_name
              WHEN c.c_custkey % 4 = 0 THEN 'U.S.A.'
@@ -73,16 +78,16 @@ ROLE_CTES: dict[str, str] = {
              ELSE 'Usa' END AS country,
         CASE WHEN c.c_custkey % 20 = 0 THEN c.c_mktsegment || '  ' ELSE c.c_mktsegment END AS kind
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
-    "r_customer": """SELECT k AS customer_id,
+    "r_customer": """SELECT k * 2 AS customer_id,
             CASE WHEN k % 10 = 3 THEN upper(c_name) WHEN k % 10 = 5 THEN lower(c_name)
                  WHEN k % 10 = 7 THEN '  ' || c_name || '  ' ELSE c_name END AS name,
             country, kind FROM r_customer_base
         UNION ALL
-        SELECT k + 10000000, CASE WHEN k % 60 = 0 THEN upper(c_name) ELSE ' ' || lower(c_name) END,
+        SELECT k * 2 + 1, CASE WHEN k % 60 = 0 THEN upper(c_name) ELSE ' ' || lower(c_name) END,
             country, kind FROM r_customer_base WHERE k % 30 = 0""",
     "r_sale": """SELECT l.l_orderkey * 8 + l.l_linenumber AS sale_id, l.l_orderkey AS order_id,
         l.l_linenumber AS line_no, CAST(o.o_orderdate AS DATE) AS sale_date,
-        CASE WHEN o.o_custkey % 30 = 0 AND l.l_orderkey % 2 = 0 THEN o.o_custkey + 10000000 ELSE o.o_custkey END AS customer_id,
+        CASE WHEN o.o_custkey % 30 = 0 AND l.l_orderkey % 2 = 0 THEN o.o_custkey * 2 + 1 ELSE o.o_custkey * 2 END AS customer_id,
         l.l_partkey AS product_id,
         CASE l.l_returnflag WHEN 'N' THEN 'FB' WHEN 'A' THEN 'HB' ELSE 'QB' END AS pack,
         CAST(l.l_quantity AS BIGINT) AS units,
@@ -104,9 +109,9 @@ ROLE_CTES: dict[str, str] = {
         CAST(l_quantity AS INTEGER) AS quantity FROM lineitem""",
     "r_shipment": """SELECT o_orderkey AS shipment_id, CAST(o_orderdate AS DATE) AS ship_date, o_orderkey AS order_id,
         CAST(o_orderkey % 5 AS INTEGER) AS carrier_id,
-        CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_custkey % 9 AS INTEGER) END AS forwarder_id,
-        'AWB' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS awb,
-        CAST(o_totalprice / 1000.0e0 AS DECIMAL(8,2)) AS weight FROM orders""",
+        CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(o_custkey % 25 AS INTEGER) END AS forwarder_id,
+        'AWB' || repeat('0', greatest(0, 10 - length(CAST(o_orderkey AS VARCHAR)))) || CAST(o_orderkey AS VARCHAR) AS awb,
+        CAST(floor(o_totalprice / 10.0e0 + 0.5e0) / 100.0e0 AS DECIMAL(8,2)) AS weight FROM orders""",
 }
 
 CLEAN_CTES: dict[str, str] = {

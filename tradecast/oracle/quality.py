@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from tradecast.operators.contracts import SPECS
 from tradecast.oracle.base import canon_country, dbl_round, initcap, week_end, with_ctes
 from tradecast.oracle.marts import EXTRA as M_EXTRA
-from tradecast.oracle.marts import G1, G5
+from tradecast.oracle.marts import G1, G2, G3, G5, g4
 
 ROLE_CTE = {"product": "r_product", "site": "r_site", "store_room": "r_store_room", "customer": "r_customer",
             "carrier": "r_carrier", "forwarder": "r_forwarder", "production": "r_production",
@@ -16,13 +15,43 @@ def q(body: str, extra: dict | None = None) -> str:
     return with_ctes(body, {**M_EXTRA, **(extra or {})})
 
 
+def _as_double(entity: str) -> str:
+    """Decimal columns as doubles, like the query's."""
+    column = {"site": "area", "store_room": "target_temp", "shipment": "weight"}.get(entity)
+    return f"REPLACE (CAST({column} AS DOUBLE) AS {column})" if column else ""
+
+
 def _sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# The raw contract as the source schema states it, written out here so that the
+# oracle doesn't take the engine's word for it.
+# Per entity NOT NULL columns; value lists; positive columns; keys;
+# references; varchar lengths; numeric (precision, scale).
+CONTRACT = {
+    "product": ("product_id name kind color", {"kind": "ECONOMY LARGE MEDIUM PROMO SMALL STANDARD"}, "",
+                "product_id name", {}, {"name": 100, "kind": 20, "color": 50}, {}),
+    "site": ("site_id code area product_id", {}, "area", "site_id code", {"product_id": "product"}, {"code": 20}, {"area": (6, 2)}),
+    "store_room": ("store_room_id code capacity", {}, "capacity", "store_room_id code", {}, {"code": 20}, {"target_temp": (4, 2)}),
+    "customer": ("customer_id name country kind", {}, "", "customer_id", {}, {"name": 150, "country": 100, "kind": 20}, {}),
+    "carrier": ("carrier_id name iata", {}, "", "carrier_id iata", {}, {"name": 100, "iata": 2}, {}),
+    "forwarder": ("forwarder_id name country", {}, "", "forwarder_id", {}, {"name": 150, "country": 100}, {}),
+    "production": ("production_id prod_date site_id units grade length_cm", {"grade": "A B C"}, "units length_cm",
+                   "production_id", {"site_id": "site"}, {"grade": 1}, {}),
+    "movement": ("movement_id move_date store_room_id move_type quantity", {"move_type": "in out waste"}, "quantity",
+                 "movement_id", {"store_room_id": "store_room", "production_id": "production"}, {"move_type": 10}, {}),
+    "sale": ("sale_id sale_date customer_id product_id pack units", {"pack": "FB HB QB EB"}, "units unit_price", "sale_id",
+             {"customer_id": "customer", "product_id": "product"}, {"pack": 2}, {"unit_price": (6, 3)}),
+    "shipment": ("shipment_id ship_date order_id carrier_id weight", {}, "weight", "shipment_id awb",
+                 {"order_id": "sale", "carrier_id": "carrier", "forwarder_id": "forwarder"}, {"awb": 15}, {"weight": (8, 2)}),
+}
+REQUIRED, VALUES, POSITIVE, KEYS, REFERENCES, WIDTHS, NUMERIC = range(7)
+
+
 def _count_checks(make) -> str:
     parts = []
-    for t, spec in SPECS.items():
+    for t, spec in CONTRACT.items():
         for col, cond in make(spec):
             parts.append(f"SELECT {_sq(t)} AS table_name, {_sq(col)} AS column_name, "
                          f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violations FROM {ROLE_CTE[t]}")
@@ -30,31 +59,30 @@ def _count_checks(make) -> str:
 
 
 def contract_not_null() -> str:
-    return q(_count_checks(lambda s: [(c, f"{c} IS NULL") for c in s.not_null]))
+    return q(_count_checks(lambda s: [(c, f"{c} IS NULL") for c in s[REQUIRED].split()]))
 
 
 def contract_domain() -> str:
-    return q(_count_checks(lambda s: [(c, f"NOT ({c} IN ({', '.join(_sq(v) for v in vals)}))")
-                                      for c, vals in s.domain.items()]))
+    return q(_count_checks(lambda s: [(c, f"NOT ({c} IN ({', '.join(_sq(v) for v in vals.split())}))")
+                                      for c, vals in s[VALUES].items()]))
 
 
 def contract_range() -> str:
-    return q(_count_checks(lambda s: [(c, f"{c} <= 0") for c in s.positive]))
+    return q(_count_checks(lambda s: [(c, f"{c} <= 0") for c in s[POSITIVE].split()]))
 
 
 def contract_width() -> str:
-    return q(_count_checks(lambda s: [(c, f"length({c}) > {n}") for c, n in s.width.items()]
+    return q(_count_checks(lambda s: [(c, f"length({c}) > {n}") for c, n in s[WIDTHS].items()]
                            + [(c, f"{c} IS NOT NULL AND TRY_CAST({c} AS DECIMAL({p},{sc})) IS NULL")
-                              for c, (p, sc) in s.decimal_fit.items()]))
+                              for c, (p, sc) in s[NUMERIC].items()]))
 
 
 def contract_unique() -> str:
     parts = []
-    for t, spec in SPECS.items():
-        for key in spec.unique:
-            cols = ", ".join(key)
-            nn = " AND ".join(f"{k} IS NOT NULL" for k in key)
-            parts.append(f"""SELECT {_sq(t)} AS table_name, {_sq(','.join(key))} AS key_columns,
+    for t, spec in CONTRACT.items():
+        for cols in spec[KEYS].split():
+            nn = f"{cols} IS NOT NULL"
+            parts.append(f"""SELECT {_sq(t)} AS table_name, {_sq(cols)} AS key_columns,
                 CAST(count(*) AS BIGINT) AS duplicate_keys, CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS surplus_rows
                 FROM (SELECT {cols}, count(*) AS n FROM {ROLE_CTE[t]} WHERE {nn} GROUP BY {cols} HAVING count(*) > 1)""")
     return q("\nUNION ALL\n".join(parts))
@@ -62,8 +90,9 @@ def contract_unique() -> str:
 
 def contract_fk() -> str:
     parts = []
-    for t, spec in SPECS.items():
-        for col, (rt, rc) in spec.fk.items():
+    for t, spec in CONTRACT.items():
+        for col, rt in spec[REFERENCES].items():
+            rc = col
             parts.append(f"""SELECT {_sq(t)} AS table_name, {_sq(col)} AS column_name, {_sq(rt)} AS ref_table,
                 CAST(count(*) AS BIGINT) AS orphan_rows, CAST(count(DISTINCT f.{col}) AS BIGINT) AS orphan_keys
                 FROM {ROLE_CTE[t]} f WHERE f.{col} IS NOT NULL
@@ -116,6 +145,13 @@ SQL = {
     "clean_customer_dim_basic": q("SELECT customer_id, name, country, kind FROM s_customer_basic"),
     "clean_dims": q("""SELECT site_id, code, CAST(area AS DOUBLE) AS area, product_id, product_name,
         product_kind, product_color FROM s_site"""),
+    "clean_dims_product": q("SELECT * FROM s_product"),
+    "clean_dims_store_room": q("""SELECT store_room_id, trim(code) AS code, CAST(target_temp AS DOUBLE) AS target_temp, capacity
+        FROM r_store_room"""),
+    "clean_dims_carrier": q("SELECT carrier_id, trim(name) AS name, trim(iata) AS iata FROM r_carrier"),
+    "clean_dims_forwarder": q("SELECT forwarder_id, trim(name) AS name, trim(country) AS country FROM r_forwarder"),
+    "clean_shipments": q("""SELECT shipment_id, ship_date, order_id, carrier_id, forwarder_id, awb,
+        CAST(weight AS DOUBLE) AS weight FROM r_shipment"""),
     "clean_sales": q("""SELECT sale_id, order_id, line_no, sale_date, customer_id, product_id, pack, units,
         CAST(unit_price AS DOUBLE) AS unit_price, CAST(value_total AS DOUBLE) AS value_total FROM s_sale"""),
     "clean_movements_dedup": q("SELECT * FROM s_movement"),
@@ -185,6 +221,8 @@ SQL = {
               FROM lineitem)"""),
     # sources
     "src_csv": q("SELECT * FROM r_sale"),
+    **{f"src_csv_{n}": q(f"SELECT * {_as_double(n)} FROM {ROLE_CTE[n]}") for n in ROLE_CTE if n != "sale"},
+    "load_append_twice": q("SELECT * FROM r_sale"),
     "load_stream": q("SELECT * FROM r_sale"),
     "load_order": q(" UNION ALL ".join(
         f"SELECT {i} AS load_seq, '{n}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM {ROLE_CTE[n]}"
@@ -192,5 +230,14 @@ SQL = {
                                "production", "movement", "sale", "shipment"], start=1))),
     "scan_features": q(G5),
     "features_rebuild": q(RAW_FEATURES),
+    "features_from_mart": q(f"""SELECT sale_date, product_id, product_name, product_kind, demand, revenue, mean_price
+        FROM ({G5})"""),
+    "views_in_order": q("""SELECT p.kind AS product_kind, CAST(sum(v.units) AS BIGINT) AS total_units
+        FROM s_sale v JOIN s_product p ON v.product_id = p.product_id GROUP BY p.kind"""),
     "mart_roundtrip": q(G1),
+    "mart_rebuild_twice": q(G1),
+    "mart_roundtrip_rfm": q(G2),
+    "mart_roundtrip_yield": q(G3),
+    "mart_roundtrip_season": q(g4(False)),
+    "mart_roundtrip_features": q(G5),
 }

@@ -14,6 +14,7 @@ from tradecast.functions.numeric import ratio_half_up, to_cents
 from tradecast.operators.clean import Cleaned
 from tradecast.operators.rank import ntile
 from tradecast.plans.params import DEFAULT, Params
+from tradecast.session import scratch_dir
 
 
 def line_value() -> F.Column:
@@ -27,15 +28,16 @@ def weighted_price(value_sum: F.Column, units_sum: F.Column, digits: int = 2) ->
 
 
 def q01_volume_by_product(c: Cleaned) -> DataFrame:
-    return (c.sales.join(c.product, "product_id")
-            .groupBy("name").agg(F.sum("units").alias("total_units"))
+    per = c.sales.groupBy("product_id").agg(F.sum("units").alias("u"))
+    return (per.join(c.product.select("product_id", "name"), "product_id")
+            .groupBy("name").agg(F.sum("u").alias("total_units"))
             .orderBy(F.desc("total_units"), "name"))
 
 
 def q02_value_by_product(c: Cleaned) -> DataFrame:
-    agg = (c.sales.join(c.product, "product_id")
-           .groupBy("name")
-           .agg(F.sum("units").alias("total_units"), F.sum(line_value()).alias("_value")))
+    per = c.sales.groupBy("product_id").agg(F.sum("units").alias("u"), F.sum(line_value()).alias("v"))
+    agg = (per.join(c.product.select("product_id", "name"), "product_id")
+           .groupBy("name").agg(F.sum("u").alias("total_units"), F.sum("v").alias("_value")))
     return (agg.select("name", "total_units",
                        weighted_price(F.col("_value"), F.col("total_units")).alias("weighted_price"),
                        F.col("_value").cast("double").alias("total_value"))
@@ -125,10 +127,11 @@ def q08_value_by_customer(c: Cleaned) -> DataFrame:
 
 
 def q09_price_by_customer_kind(c: Cleaned) -> DataFrame:
-    agg = (c.sales.join(c.customer.select("customer_id", "kind"), "customer_id")
+    per = c.sales.groupBy("customer_id").agg(
+        F.count("*").alias("n"), F.sum("units").alias("u"), F.sum(line_value()).alias("v"))
+    agg = (per.join(c.customer.select("customer_id", "kind"), "customer_id")
            .groupBy("kind")
-           .agg(F.count("*").alias("n_sales"), F.sum("units").alias("total_units"),
-                F.sum(line_value()).alias("_value")))
+           .agg(F.sum("n").alias("n_sales"), F.sum("u").alias("total_units"), F.sum("v").alias("_value")))
     return (agg.select("kind", "n_sales", "total_units",
                        weighted_price(F.col("_value"), F.col("total_units")).alias("weighted_price"))
             .orderBy(F.desc("weighted_price"), "kind"))
@@ -207,9 +210,14 @@ def rfm_base(c: Cleaned, money: F.Column) -> DataFrame:
                     "frequency", "_money"))
 
 
-def rfm_scores(base: DataFrame, method: str = "auto") -> DataFrame:
+def rfm_scores(base: DataFrame, method: str = "distributed") -> DataFrame:
     """Three NTILE(5) scores; recency on descending days so 5 = most recent.
-    Ties are broken by customer id so the scores are deterministic."""
+    Ties are broken by customer id so the scores are deterministic.  The
+    aggregated customers are written once; the three range passes read them."""
+    spark = base.sparkSession
+    path = scratch_dir(spark, "rfm-base")
+    base.write.parquet(path)
+    base = spark.read.parquet(path)
     cid = F.col("customer_id").asc()
     x = ntile(base, 5, [F.col("recency_days").desc(), cid], "r_score", method)
     x = ntile(x, 5, [F.col("frequency").asc(), cid], "f_score", method)
@@ -217,7 +225,7 @@ def rfm_scores(base: DataFrame, method: str = "auto") -> DataFrame:
     return x
 
 
-def q15_rfm_basic(c: Cleaned, method: str = "auto") -> DataFrame:
+def q15_rfm_basic(c: Cleaned, method: str = "distributed") -> DataFrame:
     x = rfm_scores(rfm_base(c, line_value()), method)
     total = F.col("r_score") + F.col("f_score") + F.col("m_score")
     seg = F.when(total >= Q15_SEGMENTS[0][0], F.lit(Q15_SEGMENTS[0][1])) \

@@ -7,6 +7,7 @@ written once per Spark application into the shared checkpoint folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from tradecast.plans import marts as G
 from tradecast.plans import measures as B
 from tradecast.plans import questions as Q
 from tradecast.plans import timeseries as TS
+from tradecast.session import scratch_dir
 
 
 def _models():
@@ -39,7 +41,6 @@ def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
     the shared checkpoint folder and reused by every query."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SILVER:
-        from tradecast.session import scratch_dir
         from tradecast.sources.roles import Roles
         roles = Roles(spark, sf_dir, store=scratch_dir(spark, "bronze"))
         _SILVER[key] = Cleaned(roles, store=scratch_dir(spark, "silver"))
@@ -109,6 +110,28 @@ def _dbl(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _features_from_mart(c: Cleaned) -> DataFrame:
+    """S5, the branch that finds the mart: a table of the catalog."""
+    from tradecast.sources import io as IO
+    name = f"features_{uuid.uuid4().hex[:12]}"
+    spark = c.roles.spark
+    path = scratch_dir(spark, name)
+    IO.write_mart(G.g5_demand_features(c), path)
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    return IO.features_source(spark, name, lambda: G.features_from_raw(c.roles))
+
+
+def _views_in_order(c: Cleaned) -> DataFrame:
+    """The layers as views, each over the one before, asked through SQL."""
+    from tradecast.sources import io as IO
+    spark = c.roles.spark
+    IO.define_views(spark, {"silver_sales": c.sales, "silver_product": c.product})
+    IO.define_views(spark, {"gold_sales_by_product": spark.sql(
+        "SELECT p.kind, v.u FROM (SELECT product_id, sum(units) AS u FROM silver_sales GROUP BY product_id) v "
+        "JOIN silver_product p USING (product_id)")})
+    return spark.sql("SELECT kind AS product_kind, sum(u) AS total_units FROM gold_sales_by_product GROUP BY kind")
+
+
 def _quality_queries() -> dict[str, Callable]:
     from tradecast.sources import io as IO
     return {
@@ -116,6 +139,11 @@ def _quality_queries() -> dict[str, Callable]:
         "clean_customer_dim": _c(lambda c: c.customer),
         "clean_customer_dim_basic": _r(lambda r: CL.customer_dim_basic(r.customer_raw)),
         "clean_dims": _c(lambda c: _dbl(c.site, "area")),
+        "clean_dims_product": _c(lambda c: c.product),
+        "clean_dims_store_room": _c(lambda c: _dbl(c.store_room, "target_temp")),
+        "clean_dims_carrier": _c(lambda c: c.carrier),
+        "clean_dims_forwarder": _c(lambda c: c.forwarder),
+        "clean_shipments": _c(lambda c: _dbl(c.shipments, "weight")),
         "clean_sales": _c(lambda c: _dbl(c.sales, "unit_price", "value_total")),
         "clean_movements_dedup": _c(lambda c: c.movements),
         "contract_not_null": _r(lambda r: CT.not_null(CT.role_tables(r))),
@@ -148,11 +176,21 @@ def _quality_queries() -> dict[str, Callable]:
         "fn_festivals": _r(X.fn_festivals),
         "fn_round": _r(X.fn_round),
         "src_csv": _r(lambda r: IO.csv_roundtrip(r, "sale")),
+        **{f"src_csv_{n}": _r(lambda r, n=n: _dbl(IO.csv_roundtrip(r, n), "area", "target_temp", "unit_price", "weight"))
+           for n in IO.LOAD_ORDER if n != "sale"},
+        "load_append_twice": _r(IO.append_twice),
         "load_order": _r(IO.load_in_order),
         "load_stream": _r(lambda r: ST.ingest_role(r, "sale")),
         "scan_features": _c(lambda c: G.g5_demand_features(c).orderBy("sale_date", "product_id")),
         "features_rebuild": _r(lambda r: IO.features_source(r.spark, None, lambda: G.features_from_raw(r))),
+        "features_from_mart": _c(_features_from_mart),
+        "views_in_order": _c(_views_in_order),
         "mart_roundtrip": _c(lambda c: IO.materialise(G.g1_sales_monthly(c), "sales_monthly", ["year"])),
+        "mart_rebuild_twice": _c(lambda c: IO.rebuild_twice(G.g1_sales_monthly(c), "sales_monthly", ["year"])),
+        "mart_roundtrip_rfm": _c(lambda c: IO.materialise(G.g2_customer_rfm(c), "customer_rfm", ["segment"])),
+        "mart_roundtrip_yield": _c(lambda c: IO.materialise(G.g3_site_yield(c), "site_yield")),
+        "mart_roundtrip_season": _c(lambda c: IO.materialise(G.g4_weekly_season(c), "weekly_season", ["year"])),
+        "mart_roundtrip_features": _c(lambda c: IO.materialise(G.g5_demand_features(c), "features", ["month"])),
     }
 
 

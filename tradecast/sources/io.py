@@ -73,8 +73,12 @@ def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
             .option("mode", "FAILFAST").option("emptyValue", "").csv(path))
 
 
+# Blanks around a value are data: Spark's writer strips them unless told not to.
+CSV_WRITE = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def csv_roundtrip(roles, name: str = "sale") -> DataFrame:
@@ -102,20 +106,58 @@ def load_in_order(roles, order: list[str] = LOAD_ORDER) -> DataFrame:
     return out
 
 
+def append_twice(roles, name: str = "sale") -> DataFrame:
+    """S3 on an existing target: the entity in two appends, even and odd keys,
+    read back as one table."""
+    spark = roles.spark
+    path = f"{scratch_dir(spark, 'append')}/{name}"
+    fields = RAW_SCHEMAS[name].fieldNames()
+    rows = role_frame(roles, name).select(*fields)
+    for half in (0, 1):
+        rows.where(F.col(fields[0]) % 2 == half).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def rebuild_twice(df: DataFrame, name: str, partition_by: list[str]) -> DataFrame:
+    """The mart written, and written again over what is there; the second
+    run replaces the first, so every row comes once."""
+    path = scratch_dir(df.sparkSession, f"mart-{name}")
+    for _ in range(2):
+        write_mart(df, path, partition_by)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
+
+
+def write_mart(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Overwrites ``path``.  Rows of a partition value are brought together
+    first (and large values split), so a folder gets few files."""
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def define_views(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:
+    """Temporary views in the order given (dependencies first); a view that
+    exists is replaced."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Overwrite a mart as parquet (optionally partitioned) and read it back."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"mart-{name}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    write_mart(df, path, partition_by)
     back = spark.read.parquet(path)
     return back.select(*df.columns)
 
 
+# The columns that the feature source has, whichever way it comes.
+FEATURE_COLUMNS = ["sale_date", "product_id", "product_name", "product_kind", "demand", "revenue", "mean_price"]
+
+
 def features_source(spark: SparkSession, table: str | None, rebuild) -> DataFrame:
-    """Use the feature mart if the catalog has it, else rebuild it from raw."""
-    if table and spark.catalog.tableExists(table):
-        return spark.table(table)
-    return rebuild()
+    """The feature mart if the catalog has it, else rebuilt from raw."""
+    df = spark.table(table) if table and spark.catalog.tableExists(table) else rebuild()
+    return df.select(*FEATURE_COLUMNS)

@@ -22,14 +22,23 @@ from pyspark.sql import functions as F
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-# Id offset of the injected duplicate customers and the modulus rules.
-DUP_CUSTOMER_OFFSET = 10_000_000
+
+def customer_id(key, duplicate: bool = False):
+    """Disjoint ids for any key: the customer itself is even, its injected
+    logical duplicate odd (and larger)."""
+    return key * 2 + (1 if duplicate else 0)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def waybill_digits(key):
+    """The order key in ten digits at least (``lpad`` alone would cut longer keys)."""
+    s = key.cast("string")
+    return F.when(F.length(s) < 10, F.lpad(s, 10, "0")).otherwise(s)
+
+
 _LOCKS_GUARD = threading.Lock()
 
 
@@ -115,7 +124,7 @@ class Roles:
 
     @entity
     def forwarder(self) -> DataFrame:
-        return (self.t("nation").where(F.col("n_nationkey") < 9)
+        return (self.t("nation")
                 .select(F.col("n_nationkey").alias("forwarder_id"),
                         F.col("n_name").alias("name"),
                         F.col("n_regionkey").cast("string").alias("country")))
@@ -123,7 +132,7 @@ class Roles:
     @entity
     def customer_raw(self) -> DataFrame:
         """Dirty customers: case/blank variants, country spellings, padded kinds,
-        plus logical duplicates (``+10,000,000``) for every 30th key."""
+        plus a logical duplicate (odd id) for every 30th key."""
         c = self.t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
         n = F.broadcast(self.t("nation").select("n_nationkey", "n_name"))  # 25 rows by spec
         base = c.join(n, c.c_nationkey == n.n_nationkey)
@@ -139,8 +148,8 @@ class Roles:
                 .when(k % 10 == 7, F.concat(F.lit("  "), F.col("c_name"), F.lit("  ")))
                 .otherwise(F.col("c_name")))
         dup_name = F.when(k % 60 == 0, F.upper("c_name")).otherwise(F.concat(F.lit(" "), F.lower("c_name")))
-        orig = F.struct(k.alias("customer_id"), name.alias("name"))
-        dup = F.struct((k + F.lit(DUP_CUSTOMER_OFFSET)).alias("customer_id"), dup_name.alias("name"))
+        orig = F.struct(customer_id(k).alias("customer_id"), name.alias("name"))
+        dup = F.struct(customer_id(k, True).alias("customer_id"), dup_name.alias("name"))
         # One scan: every 30th customer also emits its logical duplicate.
         rows = F.explode(F.when(k % 30 == 0, F.array(orig, dup)).otherwise(F.array(orig)))
         return base.select(rows.alias("r"), country.alias("country"), kind.alias("kind")) \
@@ -159,8 +168,8 @@ class Roles:
         """One sale per line item.  Price is NULL for every 50th order."""
         ok = F.col("l_orderkey")
         cust = (F.when((F.col("o_custkey") % 30 == 0) & (ok % 2 == 0),
-                       F.col("o_custkey") + F.lit(DUP_CUSTOMER_OFFSET))
-                .otherwise(F.col("o_custkey")))
+                       customer_id(F.col("o_custkey"), True))
+                .otherwise(customer_id(F.col("o_custkey"))))
         price = F.when(ok % 50 == 0, F.lit(None)).otherwise(
             (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * F.lit(1000) + F.lit(0.5))
              / F.lit(1000.0)).cast("decimal(10,3)"))
@@ -220,9 +229,10 @@ class Roles:
             F.to_date("o_orderdate").alias("ship_date"),
             ok.alias("order_id"),
             (ok % 5).cast("int").alias("carrier_id"),
-            F.when(ok % 50 == 0, F.lit(None)).otherwise((F.col("o_custkey") % 9).cast("int")).alias("forwarder_id"),
-            F.concat(F.lit("AWB"), F.lpad(ok.cast("string"), 10, "0")).alias("awb"),
-            (F.col("o_totalprice") / F.lit(1000.0)).cast("decimal(8,2)").alias("weight"),
+            F.when(ok % 50 == 0, F.lit(None)).otherwise((F.col("o_custkey") % 25).cast("int")).alias("forwarder_id"),
+            F.concat(F.lit("AWB"), waybill_digits(ok)).alias("awb"),
+            # half-up to hundredths in floating point, so that every engine gets the same
+            (F.floor(F.col("o_totalprice") / F.lit(10.0) + F.lit(0.5)) / F.lit(100.0)).cast("decimal(8,2)").alias("weight"),
         )
 
 
