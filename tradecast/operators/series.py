@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradecast.functions.numeric import round_half_up
+
 # MacKinnon (2010) response-surface coefficients for the ADF
 # critical values, one variable, constant-only regression: 1 %, 5 %, 10 %,
 # crit = b0 + b1/T + b2/T^2 + b3/T^3.
@@ -107,16 +109,25 @@ def durbin_levinson(acf: np.ndarray) -> np.ndarray:
     return pacf
 
 
-PACF_SCHEMA = "series_id string, lag int, pacf double"
-
-
 def pacf(acf_df: DataFrame, series: str = "series_id") -> DataFrame:
-    """Partial autocorrelations from the ACF rows (series, lag, acf), per series."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = np.concatenate([[1.0], pdf["acf"].to_numpy(dtype=float)])
-        p = durbin_levinson(r)
-        return pd.DataFrame({"series_id": str(pdf[series].iloc[0]),
-                             "lag": np.arange(1, len(p)), "pacf": p[1:]})
-    return (acf_df.select(F.col(series).cast("string").alias(series), "lag", "acf")
-            .groupBy(series).applyInPandas(run, PACF_SCHEMA))
+    """Partial autocorrelations from the ACF rows (series, lag, acf): the
+    Durbin-Levinson recursion as a fold over each series' array of lags."""
+    per = acf_df.groupBy(F.col(series).cast("string").alias("series_id")).agg(
+        F.sort_array(F.collect_list(F.struct("lag", "acf"))).alias("_r"))
+    r = F.col("_r.acf")
+    none = F.array().cast("array<double>")
+
+    def dot(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+
+    def step(state, k):
+        phi, head = state["phi"], F.slice(r, F.lit(1), k - 1)
+        a = (F.element_at(r, k) - dot(phi, F.reverse(head))) / (F.lit(1.0) - dot(phi, head))
+        # the one-element array holds ``a``, so that it is computed once
+        return F.transform(F.array(a), lambda v: F.struct(
+            F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - v * y), F.array(v)).alias("phi"),
+            F.concat(state["out"], F.array(v)).alias("out")))[0]
+
+    folded = F.aggregate(F.sequence(F.lit(1), F.size("_r")), F.struct(none.alias("phi"), none.alias("out")), step, lambda s: s["out"])
+    return (per.select("series_id", F.posexplode(folded).alias("_k", "_p"))
+            .select("series_id", (F.col("_k") + 1).cast("int").alias("lag"), round_half_up(F.col("_p"), 6).alias("pacf")))

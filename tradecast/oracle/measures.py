@@ -25,7 +25,7 @@ EXTRA = {
     "m_cal": """SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
         FROM m_bounds""",
     "m_mart": """SELECT CAST(date_trunc('month', v.sale_date) AS DATE) AS month, CAST(year(v.sale_date) AS INTEGER) AS year,
-        v.units, v.value_total, p.name AS product_name, c.country
+        v.units, v.value_total, p.name AS product_name, p.kind AS product_kind, c.country, c.kind AS customer_kind
         FROM s_sale v JOIN s_product p ON v.product_id = p.product_id JOIN s_customer c ON v.customer_id = c.customer_id""",
     "m_month_value": "SELECT month, sum(value_total) AS v FROM m_mart GROUP BY month",
     "m_prev_year": """SELECT CAST(year(c.date) AS INTEGER) AS year, sum(mv.v) AS prev
@@ -45,7 +45,33 @@ def q(body: str) -> str:
 
 GROWTH = "CASE WHEN prev IS NULL OR prev = 0 THEN NULL ELSE CAST(cur - prev AS DOUBLE) / CAST(prev AS DOUBLE) END"
 
+CONTEXT = {"year": "CAST(year({d}) AS INTEGER)", "month": "CAST(date_trunc('month', {d}) AS DATE)"}
+
+
+def measures(by: str, dates: str, where: str = "TRUE", when: str = "TRUE") -> str:
+    """All measures by one attribute and a date context; ``where`` filters the
+    mart, ``when`` the dates ({d}) of the contexts."""
+    def prior(months: int) -> str:
+        return f"""SELECT mv.a, {CONTEXT[dates].format(d='c.date')} AS x, sum(mv.v) AS prev FROM m_cal c
+            JOIN m_cal c2 ON c2.date = CAST(c.date - INTERVAL {months} MONTH AS DATE)
+            JOIN (SELECT {by} AS a, month, sum(value_total) AS v FROM m_mart WHERE {where} GROUP BY 1, 2) mv ON mv.month = c2.date
+            WHERE {when.format(d='c.date')} GROUP BY 1, 2"""
+    def growth(prev: str) -> str:
+        return f"CASE WHEN {prev} = 0 THEN NULL ELSE CAST(k.cur - {prev} AS DOUBLE) / CAST({prev} AS DOUBLE) END"
+    return q(f"""SELECT k.a AS {by}, k.x AS {dates}, CAST(k.cur AS DOUBLE) AS total_sales, k.units AS total_units,
+        CASE WHEN k.units = 0 THEN NULL ELSE CAST(k.cur AS DOUBLE) / CAST(k.units AS DOUBLE) END AS weighted_price,
+        CAST(y.prev AS DOUBLE) AS prior_year_sales, {growth('y.prev')} AS yoy_growth,
+        CAST(m.prev AS DOUBLE) AS prior_month_sales, {growth('m.prev')} AS mom_growth
+        FROM (SELECT {by} AS a, {CONTEXT[dates].format(d='month')} AS x, sum(value_total) AS cur, CAST(sum(units) AS BIGINT) AS units
+              FROM m_mart WHERE {where} AND {when.format(d='month')} GROUP BY 1, 2) k
+        LEFT JOIN ({prior(12)}) y ON y.a = k.a AND y.x = k.x LEFT JOIN ({prior(1)}) m ON m.a = k.a AND m.x = k.x""")
+
+
 SQL = {
+    "measures_country_year": measures("country", "year"),
+    "measures_kind_month": measures("product_kind", "month"),
+    "measures_filtered": measures("customer_kind", "year", "country IN ('USA', 'France') AND product_kind IN ('SMALL', 'LARGE')",
+                                  "year({d}) IN (1999, 2000)"),
     "b1_calendar": q(f"""SELECT date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month_no,
         {MONTHS}[month(date)] AS month_name, {MONTHS_SHORT}[month(date)] AS month_short,
         'Q' || CAST(quarter(date) AS VARCHAR) AS quarter, {weeknum('date')} AS week_no,

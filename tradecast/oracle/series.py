@@ -176,7 +176,35 @@ SQL = {
 
 # Per-product panels: the same SQL with the product key as the series.
 _BY_PRODUCT = ("CAST(product_color AS VARCHAR) AS series_id", "CAST(product_id AS VARCHAR) AS series_id")
-SQL["t3_dense_panel_by_product"] = SQL["t3_dense_panel"].replace(*_BY_PRODUCT)
+for _key in ("t3_dense_panel", "m4_time_split", "m9_metrics_global", "m10_metrics_h12", "m11_h12_curve", "m12_capacity", "m13_newsvendor"):
+    SQL[f"{_key}_by_product"] = SQL[_key].replace(*_BY_PRODUCT)
+
+
+def feature_sums() -> str:
+    whole = ["y_target", "y_T", "y_T_1", "y_T_2", "y_T_3", "target_iso_week", "window_peak1", "window_peak2"]
+    parts = ["y_lag_52", "ma_4", "ma_12", "std_8", "growth", "dist_peak1_weeks", "dist_peak2_weeks"]
+    return q(f"""SELECT CASE WHEN target_date <= DATE '1999-12-31' THEN 'train'
+            WHEN target_date BETWEEN DATE '2000-01-01' AND DATE '2000-06-30' THEN 'val'
+            WHEN target_date BETWEEN DATE '2000-07-01' AND DATE '2000-12-31' THEN 'mid'
+            WHEN target_date >= DATE '2001-01-01' THEN 'test' END AS split, horizon,
+        count(*) AS n_rows, count(DISTINCT series_id) AS n_series,
+        {', '.join(f'CAST(sum({x}) AS BIGINT) AS sum_{x}' for x in whole)},
+        {', '.join(f'CAST(sum(CAST(floor({x} * 1000 + 0.5e0) AS BIGINT)) AS BIGINT) AS milli_{x}' for x in parts)}
+        FROM f_feat GROUP BY 1, 2""")
+
+
+SQL["m2_feature_sums"] = feature_sums()
+SQL["m2_feature_sums_by_product"] = feature_sums().replace(*_BY_PRODUCT)
+SQL["e4_pacf"] = q(f"""SELECT 'all' AS series_id, lag, {dbl_round('p', 6)} AS pacf FROM (
+    WITH RECURSIVE lags AS (SELECT list(acf ORDER BY lag) AS r FROM ({SQL['e4_acf']})),
+    fold AS (
+      SELECT CAST(1 AS INTEGER) AS lag, [r[1]] AS phi, r[1] AS p, r FROM lags
+      UNION ALL
+      SELECT lag + 1, list_append(list_transform(range(1, lag + 1), lambda j: phi[j] - a * phi[lag + 1 - j]), a), a, r
+      FROM (SELECT *, (r[lag + 1] - list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[lag + 1 - j])))
+                      / (1 - list_sum(list_transform(range(1, lag + 1), lambda j: phi[j] * r[j]))) AS a
+            FROM fold WHERE lag < 55))
+    SELECT lag, p FROM fold)""")
 # Exact SQL twin of the per-product supervised set (millions of rows at sf0.01):
 # kept out of the driver's gate, compared in full at sf0.001 by tests/test_scale_paths.py.
 SLOW_SQL = {"m2_direct_features_by_product": SQL["m2_direct_features"].replace(*_BY_PRODUCT)}

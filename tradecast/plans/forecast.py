@@ -25,9 +25,7 @@ from tradecast.functions import dates as D
 from tradecast.functions.numeric import int_div, ratio_half_up_units, round_half_up
 from tradecast.operators.clean import Cleaned
 from tradecast.plans.params import DEFAULT, Params
-from tradecast.plans.timeseries import t3_dense_panel
-
-SERIES_COL = "product_color"
+from tradecast.plans.timeseries import t3_dense_panel, weekly_series
 
 
 def m1_festival_calendar(c: Cleaned) -> DataFrame:
@@ -93,18 +91,30 @@ def target_calendar(target: F.Column, p: Params = DEFAULT) -> list[F.Column]:
             F.when(d2.between(p.window_lo, p.window_hi), 1).otherwise(0).alias("window_peak2")]
 
 
-def m2_direct_features(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES_COL,
-                       materialize: bool = True) -> DataFrame:
-    """The supervised set.  Materialised once per session when it is reused
-    (baselines, splits, metrics and the boosted trees all read it); a one-off
-    use (``materialize=False``) streams straight to its consumer."""
-    build = lambda: direct_features(t3_dense_panel(c, series_col), p)
-    if not materialize:
+def m2_direct_features(c: Cleaned, p: Params = DEFAULT, materialize: bool | None = None) -> DataFrame:
+    """The supervised set of the series ``p.series_col``.  For series that are an
+    attribute of products it is materialised once per session (baselines,
+    splits, metrics and the boosted trees all read it); per product it is ten
+    times the size of its sources and streams straight to its consumer."""
+    build = lambda: direct_features(t3_dense_panel(c, p.series_col), p)
+    if not (p.series_col != "product_id" if materialize is None else materialize):
         return build()
-    tag = hashlib.sha1(f"{series_col}|{p!r}".encode()).hexdigest()[:12]
+    tag = hashlib.sha1(repr(p).encode()).hexdigest()[:12]
     return c.cached(f"direct_features_{tag}", build)
 
 
+def m2_feature_sums(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
+    """Counts and exact sums over ALL rows of the supervised set, by split and
+    horizon: what checks a set of millions of rows without listing them."""
+    f = m2_direct_features(c, p)
+    whole = ["y_target", "y_T", "y_T_1", "y_T_2", "y_T_3", "target_iso_week", "window_peak1", "window_peak2"]
+    parts = ["y_lag_52", "ma_4", "ma_12", "std_8", "growth", "dist_peak1_weeks", "dist_peak2_weeks"]
+    return f.groupBy(split_label(F.col("target_date"), p).alias("split"), "horizon").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("series_id").alias("n_series"),
+        *[F.sum(x).cast("long").alias(f"sum_{x}") for x in whole],
+        *[F.sum(F.floor(F.col(x) * 1000 + 0.5).cast("long")).alias(f"milli_{x}") for x in parts])
+
+
 def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """(series, origin T, horizon h) rows from a dense panel (week_end, series_id, demand).
 
@@ -122,9 +132,9 @@ def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
         *target_calendar(F.col("target_date"), p))
 
 
-def m3_target_calendar(c: Cleaned, p: Params = DEFAULT, series_col: str = SERIES_COL) -> DataFrame:
-    """Calendar features of every panel week used as a target."""
-    weeks = t3_dense_panel(c, series_col).select("week_end").distinct()
+def m3_target_calendar(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
+    """Calendar features of every observed week (the weeks of the panel)."""
+    weeks = weekly_series(c, p.series_col).select("week_end").distinct()
     return weeks.select(F.col("week_end").alias("target_date"), *target_calendar(F.col("week_end"), p))
 
 

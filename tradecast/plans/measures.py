@@ -120,6 +120,46 @@ def b8_mom_growth(c: Cleaned) -> DataFrame:
                                  F.col("_prev").cast("double")).alias("mom_growth"))
 
 
+def measures(c: Cleaned, by: list[str], dates: str | None = None, where: dict[str, list] | None = None) -> DataFrame:
+    """Every measure (B3-B8) for each combination of the mart columns ``by`` and
+    of ``dates`` ("year", "month" or none), under the filters ``where``: lists
+    of values of mart columns.  Filters on "year" and "month" choose contexts;
+    prior periods are shifted out of them, as in the model, and not filtered."""
+    where = dict(where or {})
+    chosen = {k: where.pop(k) for k in ("year", "month") if k in where}
+    context = {"year": F.year, "month": D.month_start, None: lambda d: F.lit(0)}[dates]
+    mart = g1_exact(c)
+    for column, values in where.items():
+        mart = mart.where(F.col(column).isin(values))
+
+    def kept(df: DataFrame, date) -> DataFrame:
+        for k, values in chosen.items():
+            df = df.where((F.year(date) if k == "year" else D.month_start(date)).isin(values))
+        return df
+
+    value = mart.groupBy(*by, "month").agg(F.sum("_value").alias("v"), F.sum("total_units").alias("u"))
+    out = (kept(value, F.col("month")).groupBy(*by, context(F.col("month")).alias("ctx"))
+           .agg(F.sum("v").alias("_cur"), F.sum("u").alias("total_units")))
+    cal = _days(calendar_bounds(c))
+    for months, name in ((-12, "_year"), (-1, "_month")):
+        shifted = kept(cal, F.col("date")).select(context(F.col("date")).alias("ctx"), F.add_months("date", months).alias("month"))
+        inside = shifted.join(cal.select(F.col("date").alias("month")), "month", "left_semi")
+        # the calendar is bounded by the dates, the other side by the mart
+        before = inside.join(value, "month").groupBy(*by, "ctx").agg(F.sum("v").alias(name))
+        on = [out[k].eqNullSafe(before[k]) for k in (*by, "ctx")]
+        out = out.join(before, on, "left").select(*[out[k] for k in out.columns], name)
+    cur = F.col("_cur").cast("double")
+
+    def growth(prior: str) -> F.Column:
+        return F.try_divide((F.col("_cur") - F.col(prior)).cast("double"), F.col(prior).cast("double"))
+
+    return out.select(
+        *by, *([F.col("ctx").alias(dates)] if dates else []), cur.alias("total_sales"), "total_units",
+        F.try_divide(cur, F.col("total_units").cast("double")).alias("weighted_price"),
+        F.col("_year").cast("double").alias("prior_year_sales"), growth("_year").alias("yoy_growth"),
+        F.col("_month").cast("double").alias("prior_month_sales"), growth("_month").alias("mom_growth"))
+
+
 def _by(c: Cleaned, key: str) -> DataFrame:
     return g1_exact(c).groupBy(key).agg(F.sum("_value").cast("double").alias("total_sales"))
 

@@ -4,7 +4,7 @@ clock."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,9 @@ class Params:
     cut_factor: float = 0.85
     peak_multiplier: float = 1.8
     post_harvest_factor: float = 0.9
-    extra: dict = field(default_factory=dict)
+    # The forecasting series: a product attribute, or the product itself.
+    series_col: str = "product_color"
 
 
 DEFAULT = Params()
+PER_PRODUCT = replace(DEFAULT, series_col="product_id")

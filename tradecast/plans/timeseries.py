@@ -77,7 +77,12 @@ def t2_weekly_product(c: Cleaned) -> DataFrame:
 
 
 def weekly_series(c: Cleaned, series_col: str = "product_color") -> DataFrame:
-    """Weekly demand per forecasting series (a product attribute, e.g. the brand)."""
+    """Weekly demand per forecasting series (a product attribute, or the
+    product); written once per session and series column."""
+    return c.cached(f"weekly_{series_col}", lambda: _weekly_series(c, series_col))
+
+
+def _weekly_series(c: Cleaned, series_col: str) -> DataFrame:
     g = (g5_exact(c).groupBy(D.week_end_sunday("sale_date").alias("week_end"),
                              F.col(series_col).cast("string").alias("series_id"))
          .agg(F.sum("demand").alias("demand"), F.sum("_rev").alias("_rev"),
@@ -89,27 +94,32 @@ def weekly_series(c: Cleaned, series_col: str = "product_color") -> DataFrame:
 def t3_dense_panel(c: Cleaned, series_col: str = "product_color") -> DataFrame:
     """Observed weeks × series: demand 0-filled, revenue and price left NULL.
 
-    No join and no cross join: the weekly rows of each series are grouped into
-    a week → values map (bounded by the number of calendar weeks, not by data
-    volume), the global week range (one scalar subquery) is exploded per
-    series, kept where some series was observed (broadcast semi-join on a
-    calendar-bounded table) and looked up in the map.  The ``groupBy`` leaves
-    the panel hash-partitioned by series, which is exactly what the series
-    windows downstream need, so they add no shuffle.
+    No join with the facts and no cross join: the weekly rows of each series are
+    gathered into an array in week order (bounded by the number of calendar
+    weeks, not by data volume), the gaps between neighbours are filled, and the
+    array is exploded with its positions, so the work is linear in the weeks.
+    Weeks that no series has fall to a semi-join on a calendar-bounded table.
+    The ``groupBy`` leaves the panel hash-partitioned by series, which is what
+    the series windows downstream need, so they add no shuffle.
     """
     wk = weekly_series(c, series_col)
     b = wk.select(F.struct(F.min("week_end").alias("lo"), F.max("week_end").alias("hi"))).scalar()
     lo, hi = b.getField("lo"), b.getField("hi")
     observed = wk.select("week_end").distinct()
-    per_series = wk.groupBy("series_id").agg(F.map_from_entries(F.collect_list(
-        F.struct("week_end", F.struct("demand", "revenue", "mean_price")))).alias("_m"))
-    grid = (per_series.select("series_id", "_m",
-                              F.explode(F.sequence(lo, hi, F.expr("INTERVAL 7 DAYS"))).alias("week_end"))
-            .join(F.broadcast(observed), "week_end", "left_semi"))
-    v = F.try_element_at(F.col("_m"), F.col("week_end"))
-    return grid.select("week_end", "series_id",
-                       F.coalesce(v.getField("demand"), F.lit(0).cast("long")).alias("demand"),
-                       v.getField("revenue").alias("revenue"), v.getField("mean_price").alias("mean_price"))
+    slot = F.floor(F.datediff("week_end", lo) / 7).cast("int")
+    n = F.floor(F.datediff(hi, lo) / 7).cast("int") + 1
+    values = F.struct("demand", "revenue", "mean_price")
+    per_series = (wk.select("series_id", F.struct(slot.alias("at"), values.alias("v")).alias("e"))
+                  .groupBy("series_id").agg(F.sort_array(F.collect_list("e")).alias("_seen"))
+                  .withColumn("_n", n))
+    blank = F.struct(F.lit(0).cast("long").alias("demand"), F.lit(None).cast("double").alias("revenue"),
+                     F.lit(None).cast("double").alias("mean_price"))
+    after = F.transform("_seen", lambda e, i: F.concat(F.array(e["v"]), F.array_repeat(
+        blank, F.coalesce(F.get(F.col("_seen"), i + 1)["at"], F.col("_n")) - e["at"] - 1)))
+    filled = F.concat(F.array_repeat(blank, F.col("_seen")[0]["at"]), F.flatten(after))
+    grid = per_series.select("series_id", F.posexplode(filled).alias("_at", "_v"))
+    grid = grid.select(F.date_add(lo, F.col("_at") * 7).alias("week_end"), "series_id", "_v.*")
+    return grid.join(F.broadcast(observed), "week_end", "left_semi")
 
 
 def e1_rolling8(c: Cleaned) -> DataFrame:

@@ -24,6 +24,7 @@ from tradecast.plans import marts as G
 from tradecast.plans import measures as B
 from tradecast.plans import questions as Q
 from tradecast.plans import timeseries as TS
+from tradecast.plans.params import PER_PRODUCT
 from tradecast.session import scratch_dir
 
 
@@ -47,6 +48,12 @@ def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
     return _SILVER[key]
 
 
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Forget the layers written for ``sf_dir``: the next query reads the
+    sources anew.  Call it when files under ``sf_dir`` have changed."""
+    _SILVER.pop((spark.sparkContext.applicationId, sf_dir), None)
+
+
 def _r(fn):
     """Adapt ``fn(Roles)`` to ``(spark, sf_dir)`` (the session's bronze entities)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +205,12 @@ def _measure_queries() -> dict[str, Callable]:
     names = ["b1_calendar", "b2_year_week_bridge", "b3_total_sales", "b4_total_units", "b5_weighted_price",
              "b6_prior_year", "b7_yoy_growth", "b8_mom_growth", "b9_sales_by_product", "b9_sales_by_country",
              "b9_sales_by_month", "b10_date_hierarchy"]
-    return {n: _c(getattr(B, n)) for n in names}
+    out = {n: _c(getattr(B, n)) for n in names}
+    out["measures_country_year"] = _c(lambda c: B.measures(c, ["country"], "year"))
+    out["measures_kind_month"] = _c(lambda c: B.measures(c, ["product_kind"], "month"))
+    out["measures_filtered"] = _c(lambda c: B.measures(c, ["customer_kind"], "year", {
+        "country": ["USA", "France"], "product_kind": ["SMALL", "LARGE"], "year": [1999, 2000]}))
+    return out
 
 
 def _series_queries() -> dict[str, Callable]:
@@ -218,8 +230,11 @@ def _series_queries() -> dict[str, Callable]:
         "e5_product_share_top15": _c(TS.e5_product_share_top),
         "m1_festival_calendar": _c(M.m1_festival_calendar),
         "m2_direct_features": _c(M.m2_direct_features),
-        "m2_direct_features_by_product": _c(lambda c: M.m2_direct_features(c, series_col="product_id",
-                                                                           materialize=False)),
+        "m2_direct_features_by_product": _c(lambda c: M.m2_direct_features(c, PER_PRODUCT)),
+        "m2_feature_sums": _c(M.m2_feature_sums),
+        "m2_feature_sums_by_product": _c(lambda c: M.m2_feature_sums(c, PER_PRODUCT)),
+        **{f"{f.__name__}_by_product": _c(lambda c, f=f: f(c, PER_PRODUCT)) for f in (
+            M.m4_time_split, M.m9_metrics_global, M.m10_metrics_h12, M.m11_h12_curve, M.m12_capacity, M.m13_newsvendor)},
         "m3_target_calendar": _c(M.m3_target_calendar),
         "m4_time_split": _c(M.m4_time_split),
         "m5_seasonal_naive": _c(M.m5_seasonal_naive),
