@@ -20,7 +20,7 @@ SHINGLE = 5
 BITS = 48          # of a hash
 FRACTION = 8       # one hash in so many is kept
 DIGITS = BITS // 4
-BUCKETS = 8        # buckets of neighbouring documents per range of the ordering
+BUCKET_ROWS = 2048 # neighbouring documents of a bucket, about
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -80,12 +80,10 @@ def as_string(sk: Column) -> Column:
 
 
 def _bounds(slim: DataFrame) -> list[tuple[int, int]]:
-    """First (``_key``, ``_crc``) of each bucket of neighbours, in order; bounded
-    by ``BUCKETS`` per range of the ordering.  A bucket begins with a new key."""
+    """First (``_key``, ``_crc``) of each bucket of neighbours, in order: two
+    numbers for some ``BUCKET_ROWS`` documents.  A bucket begins with a new key."""
     placed = ordered(slim, [F.desc("_key"), F.asc("_crc")], "sketch-order")
-    rows = {r["_pid"]: r["n"] for r in placed.groupBy("_pid").agg(F.count("*").alias("n")).collect()}
-    step = max(1, max(rows.values(), default=1) // BUCKETS)
-    starts = placed.where(F.col("_idx") % step == 0).select("_key").distinct()
+    starts = placed.where(F.col("_idx") % BUCKET_ROWS == 0).select("_key").distinct()
     first = placed.join(F.broadcast(starts), "_key").groupBy("_key").agg(F.min("_crc").alias("_crc"))
     return sorted(((r["_key"], r["_crc"]) for r in first.collect()), key=lambda k: -k[0])
 
