@@ -66,24 +66,25 @@ def unimputable(sale_raw: DataFrame) -> DataFrame:
     return imputable(sale_raw).where(F.col("mean_price").isNull())
 
 
-def _metric(name: str, df: DataFrame, cond=None) -> DataFrame:
-    d = df if cond is None else df.where(cond)
-    return d.agg(F.count("*").cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+def _metrics(df: DataFrame, **counts) -> DataFrame:
+    """One pass over ``df``: a row (metric, value) for each counting expression."""
+    names = list(counts)
+    pairs = ", ".join(f"'{n}', {n}" for n in names)
+    return (df.agg(*[c.cast("long").alias(n) for n, c in counts.items()])
+            .selectExpr(f"stack({len(names)}, {pairs}) AS (metric, value)"))
 
 
 def cleaning_counts(roles, cleaned) -> DataFrame:
-    """Before/after report, one row per metric."""
-    sales = cleaned.sales
+    """Before/after report, one row per metric; every table is read once."""
+    rows = F.count("*")
     parts = [
-        _metric("customers_raw", roles.customer_raw),
-        _metric("customers_clean", cleaned.customer),
-        _metric("sales_raw", roles.sale_raw),
-        _metric("sales_clean", sales),
-        _metric("sales_null_price_raw", roles.sale_raw, F.col("unit_price").isNull()),
-        _metric("sales_null_price_clean", sales, F.col("unit_price").isNull()),
-        _metric("sales_without_customer", sales, F.col("customer_id").isNull()),
-        _metric("movements_raw", roles.movement_raw),
-        _metric("movements_clean", cleaned.movements),
+        _metrics(roles.customer_raw, customers_raw=rows),
+        _metrics(cleaned.customer, customers_clean=rows),
+        _metrics(roles.sale_raw, sales_raw=rows, sales_null_price_raw=F.count_if(F.col("unit_price").isNull())),
+        _metrics(cleaned.sales, sales_clean=rows, sales_null_price_clean=F.count_if(F.col("unit_price").isNull()),
+                 sales_without_customer=F.count_if(F.col("customer_id").isNull())),
+        _metrics(roles.movement_raw, movements_raw=rows),
+        _metrics(cleaned.movements, movements_clean=rows),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -101,21 +102,27 @@ def residual_logical(customer_clean: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Per column: type, nulls, % null, distinct values — one aggregation pass,
-    then ``stack`` to one row per column.  ``approx`` swaps the exact distinct
-    count (an Expand over the columns) for HyperLogLog++ sketches."""
-    cols = df.columns
+    """Per column: type, nulls, % null, distinct values.  Exact: each column is
+    read alone and counted by value, with a map-side combine, so the rows are
+    never multiplied by the columns.  ``approx``: one pass of HyperLogLog++
+    sketches over all of them."""
+    out = None
     dtypes = dict(df.dtypes)
-    aggs = [F.count("*").alias("_n")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"n{i}"))
-        aggs.append((F.approx_count_distinct(c) if approx else F.count_distinct(c)).alias(f"d{i}"))
-    agg = df.agg(*aggs)
-    pairs = ", ".join(f"'{c}', '{dtypes[c]}', n{i}, d{i}" for i, c in enumerate(cols))
-    return (agg.selectExpr("_n", f"stack({len(cols)}, {pairs}) AS (column_name, data_type, null_count, distinct_count)")
-            .select("column_name", "data_type", F.col("null_count").cast("long"),
-                    (F.col("null_count") * 100 / F.col("_n")).alias("null_pct"),
-                    F.col("distinct_count").cast("long")))
+    if approx:
+        pairs = ", ".join(f"'{c}', '{dtypes[c]}', n{i}, d{i}" for i, c in enumerate(df.columns))
+        out = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
+                     *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(df.columns)]).selectExpr(
+            "_n", f"stack({len(df.columns)}, {pairs}) AS (column_name, data_type, null_count, distinct_count)")
+    else:
+        for c in df.columns:
+            x = F.col("_x")
+            one = df.groupBy(F.col(c).alias("_x")).agg(F.count("*").alias("_c")).agg(
+                F.sum("_c").alias("_n"), F.coalesce(F.sum(F.when(x.isNull(), F.col("_c"))), F.lit(0)).alias("null_count"),
+                F.count("_x").alias("distinct_count")).select(
+                "_n", F.lit(c).alias("column_name"), F.lit(dtypes[c]).alias("data_type"), "null_count", "distinct_count")
+            out = one if out is None else out.unionByName(one)
+    return out.select("column_name", "data_type", F.col("null_count").cast("long"),
+                      (F.col("null_count") * 100 / F.col("_n")).alias("null_pct"), F.col("distinct_count").cast("long"))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -23,9 +23,8 @@ from tradecast.plans.marts import g1_exact, g4_weekly_season
 
 
 def calendar_bounds(c: Cleaned) -> DataFrame:
-    """One row: (start, end) of the calendar."""
-    return c.sales.agg(D.month_start(F.min("sale_date")).alias("start"),
-                       F.last_day(F.max("sale_date")).alias("end"))
+    """One row: (start, end) of the calendar, from the months of the mart."""
+    return g1_exact(c).agg(F.min("month").alias("start"), F.last_day(F.max("month")).alias("end"))
 
 
 def _days(bounds: DataFrame) -> DataFrame:
