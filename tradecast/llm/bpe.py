@@ -139,7 +139,8 @@ class _Encoder:
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bool = True) -> DataFrame:
     """Adds ``ids`` (array of int) to the rows of ``docs`` (``doc_id``, ``text``;
     other columns are kept).  Null and empty texts get an empty array."""
-    table = saved(fold_words(frequent_words(docs, pattern), ranks), "bpe-words")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a limit leaves its rows in one task
+    table = saved(fold_words(frequent_words(docs, pattern).repartition(tasks), ranks), "bpe-words")
     known = {r["word"]: list(r["ids"]) for r in table.collect()}  # TABLE_WORDS at most
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, known))
 
