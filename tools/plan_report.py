@@ -1,6 +1,6 @@
 """Execute queries and summarise their final (post-AQE) physical plans.
 
-    python tools/plan_report.py [sf_dir] [key ...]  > PLANS.md
+    python tools/plan_report.py [--no-broadcast] [sf_dir] [key ...]
 
 Counts shuffles (Exchange hashpartitioning / rangepartitioning), single-
 partition exchanges, broadcast exchanges, join strategies, windows, Python
@@ -41,12 +41,15 @@ def summarise(txt: str) -> dict:
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:]
+    args = [a for a in sys.argv[1:] if a != "--no-broadcast"]
+    sf_dir, keys = (args or ["/root/testdata/sf0.01"])[0], args[1:]
     spark = get_session(shuffle_partitions=8)
+    if len(args) < len(sys.argv) - 1:  # what joins become when no side is small
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     qs = queries()
     keys = keys or [k for k in qs if not k.startswith(("m7", "m8", "m9_metrics_all", "m10_metrics_h12_all",
-                                                      "m12_capacity_gbt"))]
+                                                      "m12_capacity_gbt", "m2_direct_features_by_product"))]
     print("| key | shuffles | single-partition | broadcasts | SMJ | BHJ | windows | python | scans | scans with pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for k in keys:
