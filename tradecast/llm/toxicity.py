@@ -65,10 +65,8 @@ def _term_counts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if text:
                 counts[label].update({t for w in set(TOKEN.findall(text.lower())) for t in terms_of(w)})
     for label, c in enumerate(counts):
-        # a term that a partition holds once adds too little to matter
-        kept = [(t, n) for t, n in c.items() if n > 1 or label]
-        if kept:
-            yield pd.DataFrame({"term": [t for t, _ in kept], "label": label, "n": [n for _, n in kept]})
+        if c:
+            yield pd.DataFrame({"term": list(c.keys()), "label": label, "n": list(c.values())})
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, float]:
