@@ -36,7 +36,7 @@ def test_language_held_out(spark, truth):
     assert (out["held_out"] == [zlib.crc32(str(i).encode()) % 3 == 1 for i in out["doc_id"]]).all()
 
 
-@pytest.mark.parametrize("name,column,least", [("op2_zstd_quality", "quality", 0.95), ("op7_toxicity_gbt", "toxic", 0.8)])
+@pytest.mark.parametrize("name,column,least", [("op2_zstd_quality", "quality", 0.95), ("op7_toxicity_gbt", "toxic", 0.75)])
 def test_labels_held_out(spark, truth, name, column, least):
     out = queries.queries()[name](spark, SF).toPandas()
     assert len(out) == len(truth)
@@ -44,6 +44,8 @@ def test_labels_held_out(spark, truth, name, column, least):
     known = out.merge(truth.dropna(subset=[column]), on="doc_id")
     held = known[known["held_out"]]
     assert auc(held["score"], held[column]) > least
+    if column == "toxic":  # clean documents are left alone
+        assert known[known["toxic"] == 0]["predicted"].mean() < 0.02
 
 
 def test_lm_base_is_exact_and_model_is_better(spark, truth):

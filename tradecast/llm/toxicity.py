@@ -29,7 +29,7 @@ from tradecast.llm.labels import FOLDS, training_labels
 TRAIN_ROWS = 60_000   # labelled documents that the model is fitted on, about
 LEXICON = 256         # entries of each kind
 CALIBRATION_FOLD = 4  # folds 1 to 3 fit lexicon and trees
-TREES, DEPTH, STEP, LEAST_ROWS = 30, 3, 0.2, 10
+TREES, DEPTH, STEP, LEAST_ROWS = 30, 3, 0.2, 10  # rows of a leaf: fewer with under 40 toxic ones
 NEAR = 5              # words
 MEMO = 300_000        # words a task remembers
 
@@ -82,7 +82,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("b"))
     odds = F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))
     error = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    found = saved(found.withColumn("w", odds).where((F.col("a") >= 3) & (F.col("w") > 1.0) & (F.col("w") > 2.5 * error))
+    found = saved(found.withColumn("w", odds).where((F.col("a") >= 3) & (F.col("w") > 1.0) & (F.col("w") > 3.0 * error))
                   .withColumn("gain", F.col("a") * F.col("w")), "toxicity-terms")
     starts = F.col("term").endswith("*")
     top = [found.where(kind).orderBy(F.desc("gain"), "term").limit(LEXICON) for kind in (starts, ~starts)]
@@ -176,7 +176,7 @@ def score(rows: DataFrame, labels: DataFrame, column: str = "toxic", keep_text:
         return table.drop("features").withColumn("score", F.lit((pos + 1) / (pos + neg + 2)))
     fit = train.where(F.col("fold") != CALIBRATION_FOLD).withColumn("vector", array_to_vector("features"))
     trees = GBTClassifier(featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP,
-                          minInstancesPerNode=LEAST_ROWS, seed=7).fit(fit.select("vector", "label"))
+                          minInstancesPerNode=max(1, min(LEAST_ROWS, have[1.0, False] // 4)), seed=7).fit(fit.select("vector", "label"))
     scored = _raw(trees, table).drop("features")
     if not have.get((1.0, True)) or not have.get((0.0, True)):
         return scored.withColumnRenamed("raw", "score")
