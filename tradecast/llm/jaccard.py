@@ -237,7 +237,7 @@ def _links(sets: DataFrame) -> DataFrame:
         first = 0 if p["lo"].iloc[0] == p["hi"].iloc[0] else int((p["block"] == p["lo"]).sum())
         digest = p["digest"].tolist()
         if len(p) < 2 or (first in (0, len(p)) and p["lo"].iloc[0] != p["hi"].iloc[0]):
-            return pd.DataFrame({"a": [], "b": []})
+            return pd.DataFrame(columns=["a", "b"])
         links = search(p["n"].to_numpy(), [np.asarray(t, np.int64) for t in p["tokens"]], first)
         return pd.DataFrame([(digest[i], digest[j]) for i, j in links], columns=["a", "b"])
 

@@ -63,7 +63,8 @@ def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if text:
                 counts.setdefault(lang, Counter()).update(words_of(text))
     for lang, c in counts.items():
-        yield pd.DataFrame({"lang": lang, "word": list(c.keys()), "n": list(c.values())})
+        if c:
+            yield pd.DataFrame({"lang": lang, "word": list(c.keys()), "n": list(c.values())})
 
 
 def _grams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,7 +76,8 @@ def _grams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for g in grams_of(word, k):
                     c[g] += n
     for (lang, k), c in counts.items():
-        yield pd.DataFrame({"lang": lang, "k": k, "gram": list(c.keys()), "n": list(c.values())})
+        if c:
+            yield pd.DataFrame({"lang": lang, "k": k, "gram": list(c.keys()), "n": list(c.values())})
 
 
 def _frequent(counts: DataFrame, most: int) -> DataFrame:
