@@ -141,11 +141,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bo
     other columns are kept).  Null and empty texts get an empty array."""
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a limit leaves its rows in one task
     table = saved(fold_words(frequent_words(docs, pattern).repartition(tasks), ranks), "bpe-words")
-    known = {r["word"]: list(r["ids"]) for r in table.collect()}  # TABLE_WORDS at most
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, known))
+    # TABLE_WORDS at most, as Arrow columns: the driver makes no rows of them
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, table.toArrow()))
 
     def start():
-        e = _Encoder(*shared.value)
+        known, split, words = shared.value
+        e = _Encoder(known, split, dict(zip(words["word"].to_pylist(), words["ids"].to_pylist(), strict=True)))
         return lambda texts: [[e.ids(t) for t in texts]]
 
     return map_texts(docs, {"ids": T.ArrayType(T.IntegerType())}, start, keep_text)

@@ -125,17 +125,18 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     top_words = _frequent(words.where("n > 1").withColumn("k", F.lit(0)), TOP_WORDS)
     top_grams = _frequent(grams, TOP_GRAMS)
     # at most TOP_WORDS + 4 * TOP_GRAMS entries per language
-    known = [(r["lang"], 0, r["word"], r["n"]) for r in top_words.collect()]
-    known += [(r["lang"], r["k"], r["gram"], r["n"]) for r in top_grams.collect()]
+    # and as Arrow columns, not as rows, on the driver
+    known = top_words.select("lang", "k", F.col("word").alias("s"), "n").unionByName(
+        top_grams.select("lang", "k", F.col("gram").alias("s"), "n")).toArrow()
     words.unpersist()
     grams.unpersist()
-    at = {x: i for i, x in enumerate(langs)}
+    order, text = known["k"].to_numpy(), known["s"].to_pylist()
+    column = np.searchsorted(langs, known["lang"].to_numpy(zero_copy_only=False).astype(str)) if len(text) else np.zeros(0, int)
+    share = np.log10(known["n"].to_numpy() / np.array([totals[x] for x in zip(known["lang"].to_pylist(), order.tolist(), strict=True)], float))
     index: tuple[dict[str, int], dict[str, int]] = ({}, {})
-    for _, k, s, _ in known:
-        index[k > 0].setdefault(s, len(index[0]) + len(index[1]))
+    row = np.array([index[k > 0].setdefault(s, len(index[0]) + len(index[1])) for k, s in zip(order.tolist(), text, strict=True)], int)
     scores = np.full((len(index[0]) + len(index[1]), len(langs)), -PENALTY, np.float32)
-    for lang, k, s, n in known:
-        scores[index[k > 0][s], at[lang]] = np.log10(n / totals[lang, k])
+    scores[row, column] = share
     return Model(langs, np.array([per[x] for x in langs], float), index[0], index[1], scores)
 
 

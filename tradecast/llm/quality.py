@@ -76,10 +76,10 @@ def _sample(rows: DataFrame) -> tuple[list[bytes], list[bytes]]:
                 yield pd.DataFrame({"label": labels, "h": 0, "piece": found})
 
     hashed = rows.select("text", "label", F.xxhash64(F.lit("quality"), "doc_id").bitwiseAND(F.lit((1 << 62) - 1)).alias("h"))
-    got = hashed.mapInPandas(run, "label int, h long, piece binary").select("label", "piece").collect()
+    got = hashed.mapInPandas(run, "label int, h long, piece binary").select("label", "piece").toArrow()
     out: tuple[list[bytes], list[bytes]] = ([], [])
-    for r in sorted(got, key=lambda r: bytes(r["piece"])):
-        out[r["label"]].append(bytes(r["piece"]))
+    for label, piece in sorted(zip(got["label"].to_pylist(), got["piece"].to_pylist(), strict=True)):
+        out[label].append(piece)
     return out
 
 
