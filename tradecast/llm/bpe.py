@@ -140,7 +140,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bo
     """Adds ``ids`` (array of int) to the rows of ``docs`` (``doc_id``, ``text``;
     other columns are kept).  Null and empty texts get an empty array."""
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a limit leaves its rows in one task
-    table = saved(fold_words(frequent_words(docs, pattern).repartition(tasks), ranks), "bpe-words")
+    words = saved(frequent_words(docs, pattern).repartition(tasks), "bpe-frequent")
+    # a plan without a shuffle: adaptive execution would print the literal map with every new plan
+    table = saved(fold_words(words, ranks), "bpe-words")
     # TABLE_WORDS at most, as Arrow columns: the driver makes no rows of them
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern, table.toArrow()))
 
