@@ -58,3 +58,28 @@ def test_mix_comes_near_its_targets(spark):
     for (size, target), g in out.groupby(["source_size", "target"]):
         assert g["size"].sum() == size
         assert abs(g["taken"].sum() - target) <= 0.01 * target + 20
+
+
+def test_small_sources_reach_their_targets_in_a_large_corpus():
+    sizes = {"a": 2_500_000_000, "b": 2_500_000_000, "c": 5_000, "d": 20_000, "e": 100_000, "f": 100, "g": 7, "h": 0}
+    length, per = mixing.quotas(sizes)
+    for q in per:
+        assert sum(q.by_shard) == q.quota and min(q.by_shard) >= 0
+        # whole rounds, and blocks of the last one, of which one may be short
+        rounds, rest = divmod(q.quota, max(1, q.blocks))
+        taken = rounds * q.size + rest * length
+        assert abs(taken - q.target) < 2 * length, q
+        if q.source in "cdefg":
+            assert q.target == 3 * q.size and (rounds, rest) == (3, 0)
+        assert q.mult * q.blocks + q.shift < 1 << 63
+
+
+def test_small_source_is_taken_three_times(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "WEIGHTS", (1,))
+    rows = [(i, "w " * 5000, "big") for i in range(100)] + [(1000, "x y z", "small"), (1001, "u v " * 50, "tiny"), (1002, "t " * 97, "tiny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = {r["doc_id"]: (r["size"], r["taken"]) for r in mixing.mix_counts(df).collect()}
+    assert [taken[i] for i in (1000, 1001, 1002)] == [(3, 9), (100, 300), (97, 291)]
+    assert abs(sum(t for k, (_, t) in taken.items() if k < 1000) - (500_200 - 600)) < 128
+    texts = [r["text"] for r in mixing.mix_documents(df).where("doc_id = 1000").collect()]
+    assert texts == ["x y z"] * 3

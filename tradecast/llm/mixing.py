@@ -2,10 +2,13 @@
 blocks.
 
 The words of every source are laid end to end in a seeded order and cut into
-blocks of equal length.  Seats (blocks) go to sources by highest quotients
-target / (2 * seats + 1); shards take successive runs of that sequence, which
-gives an integer quota for each shard and source.  A source's k-th seat is the
-k-th block of a seeded permutation of its blocks, going round again when the
+blocks of BLOCK words, whatever the size of the corpus; the last block of a
+source holds what is left.  Seats (blocks) go to sources by highest quotients
+votes / (2 * seats + 1), the votes being the target in the source's own blocks
+of size / blocks words; a source whose target is MAX_REPEAT times its size has
+all its blocks so often.  Shards take successive runs of the sequence of seats,
+which gives an integer quota for each shard and source.  A source's k-th seat is
+the k-th block of a seeded permutation of its blocks, going round again when the
 quota exceeds them.  Only sums per source reach the driver.
 """
 
@@ -22,7 +25,8 @@ from tradecast.llm.common import BLANK, WORD, n_words, ordered, shielded
 
 WEIGHTS = (5, 2, 1)   # repeating over the sources by code point, null last
 MAX_REPEAT = 3
-BLOCKS = 1 << 16      # the corpus is cut into about so many blocks
+BLOCK = 64            # words of a block; a source is off its target by less than two
+MULTIPLIERS = 1 << 24  # of a permutation, so that they times a block fit 63 bits
 SHARDS = 8
 SEED = 20
 
@@ -83,7 +87,7 @@ def _permutation(seed: int, source: str | None, n: int) -> tuple[int, int]:
     if n <= 1:
         return 1, 0
     h = hashlib.sha256(f"{seed}|{source is None}|{source}".encode()).digest()
-    mult = int.from_bytes(h[:8], "big") % n or 1
+    mult = int.from_bytes(h[:8], "big") % min(n, MULTIPLIERS) or 1
     while math.gcd(mult, n) != 1:
         mult = mult % n + 1
     return mult, int.from_bytes(h[8:16], "big") % n
@@ -94,17 +98,21 @@ def quotas(sizes: dict[str | None, int], shards: int = SHARDS, seed: int = SEED)
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     size = [sizes[s] for s in names]
     goal = targets(size, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(names))])
-    length = max(1, sum(size) // BLOCKS)
-    blocks = [-(-n // length) for n in size]
+    blocks = [-(-n // BLOCK) for n in size]
     most = [MAX_REPEAT * b for b in blocks]
-    seats = round(sum(goal) / length)
-    upto = [sainte_lague(goal, seats * (h + 1) // shards, most) for h in range(shards)]
+    votes = [g * b / n if n else 0.0 for g, b, n in zip(goal, blocks, size, strict=True)]
+    free = [i for i, g in enumerate(goal) if g < MAX_REPEAT * size[i]]
+    quota = list(most)  # of the sources that are stopped
+    seats = sainte_lague([votes[i] for i in free], round(sum(votes[i] for i in free)), [most[i] for i in free])
+    for i, n in zip(free, seats, strict=True):
+        quota[i] = n
+    upto = [sainte_lague(votes, sum(quota) * (h + 1) // shards, quota) for h in range(shards)]
     out = []
     for i, s in enumerate(names):
         mult, shift = _permutation(seed, s, blocks[i])
         by_shard = tuple(max(0, upto[h][i] - (upto[h - 1][i] if h else 0)) for h in range(shards))
         out.append(SourceQuota(s, size[i], goal[i], blocks[i], upto[-1][i], by_shard, mult, shift))
-    return length, out
+    return BLOCK, out
 
 
 def _placed(docs: DataFrame, seed: int) -> DataFrame:
