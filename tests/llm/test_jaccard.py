@@ -57,6 +57,23 @@ def test_components_match_all_pairs(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_every_link_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_HASHES", 2_000)
+    rows = near_copies(random.Random(6), 300) + [(1000, ""), (1001, ""), (1002, None)]
+    rows += [(2000 + i, rows[i][1]) for i in range(40)] + rows[:5]
+    sets = [sets_of(t) for _, t in rows]
+    want = {}
+    for i, (k, _) in enumerate(rows):
+        want.setdefault(k, set()).add(sum(
+            i != j and bool(a := sets[i]) and bool(b := sets[j]) and 100 * len(a & b) >= 80 * len(a | b) for j in range(len(rows))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {}
+    for r in jaccard.join_components(df).collect():
+        got.setdefault(r["doc_id"], set()).add(r["n_links"])
+    assert got == want
+    assert max(max(v) for v in want.values()) > 10
+
+
 def test_search_finds_every_component():
     rng = random.Random(9)
     for first in (0, 40):

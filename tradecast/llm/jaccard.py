@@ -11,15 +11,16 @@
    family.  A family is searched in blocks of bounded size, pair by pair of
    blocks: for each text, the short inverted lists are merged and counted, the
    long ones are probed by binary search for the texts that can still reach the
-   required overlap.  A text is compared with one member of a component
-   first; whom it links with already, it need not be compared with.
-4. Links give components.
+   required overlap, or merged too where that reads less.  Every pair of texts
+   that link is found, in one pair of blocks.
+4. Links give components, and every text the number of rows that it links with.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,7 @@ CHUNK_BYTES = 16 << 20       # text of a chunk, about
 RANGE_HASHES = 2_000_000     # hashes of a range, about
 BLOCK_HASHES = 400_000       # shared shingles of a block of a family, about
 SKIP_FACTOR = 0.0085         # DivideSkip: lists kept apart, against the logarithm of the longest
+PROBE_COST = 4               # of a binary search, against an entry merged
 
 
 def required(n: int, m: np.ndarray | int) -> np.ndarray | int:
@@ -51,13 +53,20 @@ class Forest:
     """Union-find over 0..n-1."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
+        self.up = np.arange(n)
 
     def root(self, i: int) -> int:
         up = self.up
         while up[i] != i:
             up[i] = i = up[up[i]]
-        return i
+        return int(i)
+
+    def roots(self, of: np.ndarray) -> np.ndarray:
+        r = self.up[of]
+        while (r != (r := self.up[r])).any():
+            pass
+        self.up[of] = r
+        return r
 
     def join(self, i: int, j: int) -> bool:
         i, j = self.root(i), self.root(j)
@@ -67,10 +76,10 @@ class Forest:
         return True
 
 
-def search(sizes: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[int, int]]:
-    """Links that join the components of sets (hashes that others have too;
-    ``sizes``: of the whole sets).  ``first`` > 0: only links between the first
-    so many sets and the rest; 0: between any two."""
+def matches(sizes: np.ndarray, sets: list[np.ndarray], first: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, the sets that x links with, all before x) of sets (hashes that others
+    have too; ``sizes``: of the whole sets), every link once.  ``first`` > 0:
+    only links between the first so many sets and the rest; 0: between any two."""
     n = len(sets)
     lengths = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(n), lengths)
@@ -78,7 +87,6 @@ def search(sizes: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[
     order = np.argsort(token, kind="stable")  # lists in ascending order of their sets
     lists, ends = owner[order], np.concatenate(([0], np.cumsum(np.bincount(token, minlength=len(ids)))))
     starts = np.concatenate(([0], np.cumsum(lengths)))
-    forest, links = Forest(n), []
     for x in range(max(first, 1), n):
         upto = first or x
         own = token[starts[x]:starts[x + 1]]
@@ -93,36 +101,49 @@ def search(sizes: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[
         need = least_overlap(size)
         apart = min(len(own), need - 1, int(need / (SKIP_FACTOR * math.log2(longest + 1) + 1)))
         k = len(own) - apart
-        counts = np.bincount(np.concatenate([lists[a:b] for a, b in zip(heads[:k], tails[:k], strict=True)] + [np.zeros(0, int)]), minlength=upto)
+        counts = _merged(lists, heads[:k], tails[:k], upto)
         found = np.flatnonzero(counts >= need - apart)
         other = sizes[found]
         found = found[(100 * other >= PERCENT * size) & (100 * size >= PERCENT * other)]
-        if not len(found):
-            continue
-        best: dict[int, int] = {}
-        for y in found[np.argsort(counts[found], kind="stable")].tolist():
-            best[forest.root(y)] = y  # the last, so of the highest count
-        tried = np.array(sorted(best.values()))
-        for group in (tried, None):
-            if group is None:
-                mine = forest.root(x)
-                group = np.array([y for y in np.setdiff1d(found, tried).tolist() if forest.root(y) != mine], int)
-            if not len(group):
-                continue
-            for y in _probe(group, counts[group], required(size, sizes[group]), lists, heads[k:], tails[k:]).tolist():
-                if forest.join(x, y):
-                    links.append((x, y))
+        if len(found):
+            found = _probe(found, counts[found], required(size, sizes[found]), lists, heads[k:], tails[k:], upto)
+        if len(found):
+            yield x, found
+
+
+def search(sizes: np.ndarray, sets: list[np.ndarray], first: int, copies: np.ndarray | None = None,
+           linked: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join the components of sets, of all that ``matches`` finds.
+    Adds to ``linked`` the ``copies`` of the sets that each one links with."""
+    forest, links = Forest(len(sets)), []
+    for x, found in matches(sizes, sets, first):
+        if linked is not None:
+            linked[x] += copies[found].sum()
+            linked[found] += copies[x]
+        for at in np.unique(forest.roots(found), return_index=True)[1].tolist():
+            y = int(found[at])
+            if forest.join(x, y):
+                links.append((x, y))
     return links
 
 
-def _probe(found: np.ndarray, counts: np.ndarray, need: np.ndarray, lists: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+def _merged(lists: np.ndarray, heads: np.ndarray, tails: np.ndarray, upto: int) -> np.ndarray:
+    """How many of the lists hold each of the first ``upto`` sets."""
+    return np.bincount(np.concatenate([lists[a:b] for a, b in zip(heads.tolist(), tails.tolist(), strict=True)] + [np.zeros(0, int)]), minlength=upto)
+
+
+def _probe(found: np.ndarray, counts: np.ndarray, need: np.ndarray, lists: np.ndarray, heads: np.ndarray, tails: np.ndarray, upto: int) -> np.ndarray:
     """Those of ``found`` that reach ``need`` with the long lists."""
+    left = np.concatenate((np.cumsum((tails - heads)[::-1])[::-1], [0]))  # entries of a list and of those after it
     for i, (a, b) in enumerate(zip(heads.tolist(), tails.tolist(), strict=True)):
         able = counts + (len(heads) - i) >= need
         if not able.all():
             found, counts, need = found[able], counts[able], need[able]
         if not len(found):
             break
+        if PROBE_COST * len(found) * (len(heads) - i) > left[i]:
+            counts = counts + _merged(lists, heads[i:], tails[i:], upto)[found]
+            break
         long = lists[a:b]
         at = np.searchsorted(long, found)
         counts = counts + ((at < len(long)) & (long[np.minimum(at, len(long) - 1)] == found) if len(long) else 0)
@@ -217,12 +238,13 @@ def shingled(docs: DataFrame) -> DataFrame:
 
 
 def _links(sets: DataFrame) -> DataFrame:
-    """Edges (``a``, ``b``) between digests that join what is linked."""
+    """Edges (``a``, ``b``) between digests that join what is linked, and, where
+    ``b`` is null, ``linked``: rows that ``a`` links with in a pair of blocks."""
     posts = sets.select("digest", F.explode("prefix").alias("token"))
     head = posts.groupBy("token").agg(F.min("digest").alias("a"))
     edges = posts.join(head, "token").select("a", F.col("digest").alias("b"))
     family = saved(components(edges, "jaccard-families"), "jaccard-family")
-    inside = sets.select("digest", "n", "tokens").join(family, sets["digest"] == family["node"]).drop("node")
+    inside = sets.select("digest", "n", "tokens", "copies").join(family, sets["digest"] == family["node"]).drop("node")
     # heavy families are split into blocks; a pair of blocks is a task's group
     heavy = inside.groupBy(F.col("root").alias("_root")).agg(
         F.ceil(F.sum(F.size("tokens")) / BLOCK_HASHES).cast("int").alias("_blocks")).where("_blocks > 1")
@@ -230,44 +252,51 @@ def _links(sets: DataFrame) -> DataFrame:
     blocked = inside.join(F.broadcast(heavy), inside["root"] == heavy["_root"], "left").withColumn("blocks", F.coalesce("_blocks", F.lit(1)))
     blocked = blocked.withColumn("block", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
     dealt = blocked.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "root", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "digest", "n", "tokens")
+        "root", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "digest", "n", "tokens", "copies")
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(["block", "digest"])
         first = 0 if p["lo"].iloc[0] == p["hi"].iloc[0] else int((p["block"] == p["lo"]).sum())
         digest = p["digest"].tolist()
         if len(p) < 2 or (first in (0, len(p)) and p["lo"].iloc[0] != p["hi"].iloc[0]):
-            return pd.DataFrame(columns=["a", "b"])
-        links = search(p["n"].to_numpy(), [np.asarray(t, np.int64) for t in p["tokens"]], first)
-        return pd.DataFrame([(digest[i], digest[j]) for i, j in links], columns=["a", "b"])
+            return pd.DataFrame(columns=["a", "b", "linked"])
+        linked = np.zeros(len(p), np.int64)
+        links = search(p["n"].to_numpy(), [np.asarray(t, np.int64) for t in p["tokens"]], first, p["copies"].to_numpy(), linked)
+        rows = [(digest[i], digest[j], 0) for i, j in links] + [(digest[i], None, int(linked[i])) for i in np.flatnonzero(linked)]
+        return pd.DataFrame(rows, columns=["a", "b", "linked"])
 
     # the search is long for its bytes: partitions aren't coalesced by size
     tasks = 2 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(tasks, "root", "lo", "hi").groupBy("root", "lo", "hi").applyInPandas(run, "a binary, b binary")
+    return dealt.repartition(tasks, "root", "lo", "hi").groupBy("root", "lo", "hi").applyInPandas(run, "a binary, b binary, linked long")
 
 
 def join_components(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, representative for every row
-    of ``docs`` (``doc_id``, ``text``).
-
-    Texts without words, and null texts, have no shingles, link with nothing
-    and are components of their own.  Repeated rows are documents of one
-    component.  A component's id is its smallest doc_id (null if all are null);
-    its representative is the row of smallest (doc_id, hash of the text), null
-    ids last.  An empty table gives no rows.
+    """doc_id, text_hash, n_shingles, n_links, component_id, representative for
+    every row of ``docs`` (``doc_id``, ``text``).
+
+    ``n_links`` counts the other rows that the row's text links with, those of
+    equal texts included.  Texts without words, and null texts, have no
+    shingles, link with nothing and are components of their own.  Repeated rows
+    are documents of one component.  A component's id is its smallest doc_id
+    (null if all are null); its representative is the row of smallest (doc_id,
+    hash of the text), null ids last.  An empty table gives no rows.
     """
     rows = saved(shingled(docs), "jaccard-rows")
-    sets = saved(rows.where("tokens IS NOT NULL").groupBy("digest").agg(
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix")), "jaccard-sets")
-    linked = components(_links(sets), "jaccard-links")
     member = F.struct("key", "text_hash")
-    least = rows.where("n > 0").groupBy("digest").agg(F.min(member).alias("least"))
+    least = saved(rows.where("n > 0").groupBy("digest").agg(F.min(member).alias("least"), F.count("*").alias("copies")), "jaccard-least")
+    sets = rows.where("tokens IS NOT NULL").groupBy("digest").agg(
+        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("prefix").alias("prefix"))
+    sets = saved(sets.join(least.select("digest", "copies"), "digest"), "jaccard-sets")
+    found = saved(_links(sets), "jaccard-found")
+    linked = components(found.where("b IS NOT NULL").select("a", "b"), "jaccard-links")
+    others = found.where("b IS NULL").groupBy(F.col("a").alias("_set")).agg(F.sum("linked").alias("linked"))
+    least = least.join(others, least["digest"] == others["_set"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
     least = least.join(linked, least["digest"] == linked["node"], "left").withColumn("root", F.coalesce("root", "digest")).drop("node")
     heads = least.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("head"))
-    by_set = least.join(heads, least["root"] == heads["_root"]).select(F.col("digest").alias("_digest"), "head")
+    by_set = least.join(heads, least["root"] == heads["_root"]).select(F.col("digest").alias("_digest"), "head", "n_links")
     out = rows.select("key", "text_hash", "n", "digest").join(by_set, (F.col("digest") == F.col("_digest")) & (F.col("n") > 0), "left")
     head = F.coalesce("head", member)
     known = F.lit((1 << 63) - 1)
     return out.select(
-        F.nullif("key", known).alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"),
+        F.nullif("key", known).alias("doc_id"), "text_hash", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.nullif(head["key"], known).alias("component_id"), (head == member).alias("representative"))

@@ -33,7 +33,7 @@ def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.join_components(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op7_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
