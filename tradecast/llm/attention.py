@@ -11,6 +11,7 @@ here: sum over classes of p * q / z.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -193,13 +194,18 @@ def gradient(p: dict[str, np.ndarray], t: Tokens, w: Windows, rows: np.ndarray)
     start = dx[opens].sum(0)
     dx[opens] = 0
     every, grads = np.concatenate((target.ravel(), before.ravel())), np.concatenate((flat(dv_target), flat(dx)))
-    dv = np.stack([np.bincount(every, grads[:, j], len(used)) for j in range(WIDTH)], 1) / sizes[:, None]
-    spread = np.repeat(dv, sizes, axis=0)
-    g["subword"] = np.stack([np.bincount(ids, spread[:, j], SUBWORDS + 2) for j in range(WIDTH)], 1).astype(np.float32)
+    dv = _summed(every, grads, len(used)) / sizes[:, None]
+    g["subword"] = _summed(ids, np.repeat(dv, sizes, axis=0), SUBWORDS + 2).astype(np.float32)
     g["subword"][START] += start
     return loss, g
 
 
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows that go to each of 0..n-1."""
+    cell = at[:, None] * WIDTH + np.arange(WIDTH)
+    return np.bincount(cell.ravel(), rows.ravel(), n * WIDTH).reshape(n, WIDTH)
+
+
 def train(p: dict[str, np.ndarray], texts: list[bytes], seed: int, rate: float, epochs: int = 1, batch: int = 96) -> tuple[dict[str, np.ndarray], list[float]]:
     """Adam over the windows of the texts in a seeded order."""
     p = {k: v.copy() for k, v in p.items()}
@@ -215,7 +221,16 @@ def train(p: dict[str, np.ndarray], texts: list[bytes], seed: int, rate: float,
             losses.append(loss)
             i += 1
             for k, d in g.items():
-                m[k] += 0.1 * (d - m[k])
-                s[k] += 0.01 * (d * d - s[k])
-                p[k] -= (rate * (m[k] / (1 - 0.9 ** i)) / (np.sqrt(s[k] / (1 - 0.99 ** i)) + 1e-6)).astype(np.float32)
+                d = d.astype(np.float32, copy=False)
+                m[k] *= np.float32(0.9)
+                s[k] *= np.float32(0.99)
+                m[k] += np.float32(0.1) * d
+                d = d * d
+                d *= np.float32(0.01)
+                s[k] += d
+                np.sqrt(s[k], out=d)
+                d += np.float32(1e-6 * math.sqrt(1 - 0.99 ** i))
+                np.divide(m[k], d, out=d)
+                d *= np.float32(rate * math.sqrt(1 - 0.99 ** i) / (1 - 0.9 ** i))
+                p[k] -= d
     return p, losses

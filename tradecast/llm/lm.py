@@ -7,9 +7,10 @@ average the attention model takes it to be after the tokens before it.  The
 lift of a class is relative to its mean over all training tokens, so that the
 probabilities of all tokens have the same sum with the lift as without.
 
-* The network is fitted by parameter averaging: a fixed share of the training
-  documents is dealt to groups of bounded size, every group goes on from the
-  common parameters in numpy, and the mean of what they find is the next start.
+* The network is fitted by parameter averaging: every training document is dealt
+  to a round and to a group of bounded size, every group of a round goes on from
+  the common parameters in numpy, and the mean of what they find is the next
+  start.  So each document is learnt from once.
 * Documents are dealt to chunks by a hash.  Every chunk sends its distinct
   tokens (as 64-bit hashes) with their counts to the task of their range, and
   gets the counts of the whole corpus back.
@@ -27,8 +28,7 @@ from pyspark.sql import functions as F
 from tradecast.llm import attention as A
 from tradecast.llm.common import fold_of, saved
 
-SHARE = 16                # one training document in so many fits the network
-ROUNDS = 3
+ROUNDS = 3                # training documents are dealt to so many rounds
 RATES = (0.01, 0.01, 0.003)
 GROUP_BYTES = 2 << 20     # text of a group that fits the network, about
 AVERAGED = 32             # models averaged in one task
@@ -67,28 +67,30 @@ def _batches(texts: list[bytes]) -> list[slice]:
     return [*out, slice(start, len(texts))] if texts else out
 
 
-def fit(rows: DataFrame) -> Parameters:
-    """Network parameters from the training rows (``doc_id``, ``text``)."""
+def fit(rows: DataFrame) -> Parameters | None:
+    """Network parameters from the training rows (``doc_id``, ``text``); None if
+    none has a text."""
     spark = rows.sparkSession
     known = rows.where(F.col("text").isNotNull())
-    picked = known.select("text", F.xxhash64(F.lit("lm"), "doc_id", "text").alias("h")).where(F.pmod("h", F.lit(SHARE)) == 0)
-    picked = saved(picked, "lm-fit")
-    size = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, math.ceil(size / GROUP_BYTES))
+    size = known.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    if not size:
+        return None
+    groups = max(1, math.ceil(size / ROUNDS / GROUP_BYTES))
+    picked = known.select("text", F.xxhash64(F.lit("lm"), "doc_id", "text").alias("h"))
     dealt = picked.withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups)).cast("int"))
     p = A.new_parameters()
-    if not size:
-        return p
     for turn, rate in zip(range(ROUNDS), RATES, strict=True):
         start = spark.sparkContext.broadcast(pack(p))  # a megabyte
-
-        models = saved(dealt.groupBy("g").applyInPandas(_further(start, turn, rate), "g int, w double, p binary"), "lm-models")
+        mine = dealt.where(F.pmod("h", F.lit(ROUNDS)) == turn)
+        models = saved(mine.groupBy("g").applyInPandas(_further(start, turn, rate), "g int, w double, p binary"), "lm-models")
         left = groups
         while left > 1:
             models = saved(models.withColumn("g", F.floor(F.col("g") / AVERAGED).cast("int")).groupBy("g").applyInPandas(
                 _mean, "g int, w double, p binary"), "lm-models")
             left = -(-left // AVERAGED)
-        p = unpack(models.first()["p"])
+        found = models.first()
+        if found is not None:  # no document of a small table may fall to a round
+            p = unpack(found["p"])
     return p
 
 
@@ -123,8 +125,9 @@ def score(docs: DataFrame) -> DataFrame:
     every row of ``docs`` (``doc_id``, ``text``).
 
     A null text counts as empty: its only token is the end.  Repeated rows
-    count as often as they come.  With nothing to learn from every score is 0;
-    an empty table gives no rows.
+    count as often as they come.  Without a training text there is no network,
+    and the score is the base score; with nothing to learn from both are 0.  An
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     no_id = F.lit((1 << 63) - 1)  # pandas has no null integers
@@ -134,16 +137,17 @@ def score(docs: DataFrame) -> DataFrame:
     chunks = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / CHUNK_BYTES))
     bits = min(24, max(3, math.ceil(math.log2(max(1, size / 50 / RANGE_TOKENS)))))  # a chunk has a distinct token in some fifty bytes
     base = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
-    network = spark.sparkContext.broadcast(pack(parameters))
+    network = spark.sparkContext.broadcast(pack(parameters) if parameters else b"")
 
     def send(x: pd.DataFrame) -> pd.DataFrame:
-        p = unpack(network.value)
+        p = unpack(network.value) if network.value else None
         texts, learn = _raw(x["text"]), ~x["held_out"].to_numpy()
         tokens, counts, classes = [], [], np.zeros(A.CLASSES)
         for b in _batches(texts):
             t = A.tokenize(texts[b])
             n = np.bincount(t.at, np.repeat(learn[b], t.length), len(t.hash))
-            classes += n @ A.classes(p, A.vectors(p, t.ids, t.first)).astype(np.float64)
+            if p:
+                classes += n @ A.classes(p, A.vectors(p, t.ids, t.first)).astype(np.float64)
             tokens.append(t)
             counts.append(n)
         key, n = _merged(tokens, counts)
@@ -175,7 +179,7 @@ def score(docs: DataFrame) -> DataFrame:
     def finish(x: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         if not len(x):
             return pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-        p = unpack(network.value)
+        p = unpack(network.value) if network.value else None
         texts = _raw(x["text"])
         batches = _batches(texts)
         tokens = [A.tokenize(texts[b]) for b in batches]
@@ -184,7 +188,7 @@ def score(docs: DataFrame) -> DataFrame:
         out = []
         for t in tokens:
             c = n[np.searchsorted(key, t.hash)][t.at].astype(float)
-            lift = A.lifts(p, mean, t).astype(float)
+            lift = A.lifts(p, mean, t).astype(float) if p else np.ones(len(t.at))
             text = np.repeat(np.arange(len(t.length)), t.length)
             out.append(np.stack([t.length, np.bincount(text, c > 0, len(t.length)),
                                  np.bincount(text, np.log10(c + 1) - space, len(t.length)),
