@@ -249,6 +249,8 @@ def _series_queries() -> dict[str, Callable]:
         "m9_metrics_all": _c(lambda c: _models().m9_metrics_all(c)),
         "m10_metrics_h12_all": _c(lambda c: _models().m10_metrics_h12_all(c)),
         "m12_capacity_gbt": _c(lambda c: _models().m12_capacity_gbt(c)),
+        **{f"{n}_by_product": _c(lambda c, n=n: getattr(_models(), n)(c, PER_PRODUCT)) for n in (
+            "m7_gbt_mean", "m8_quantile", "m9_metrics_all", "m10_metrics_h12_all", "m12_capacity_gbt")},
     }
 
 
