@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import bpe, jaccard, langid, lm, mixing, nearest, quality, shard, sketch, toxicity
+from tradecast.llm import align, bpe, jaccard, langid, lm, mixing, nearest, quality, shard, sketch, toxicity
 from tradecast.llm.common import table
 
 
@@ -52,8 +52,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        return align.alignments(table(spark, sf_dir, "documents"), a.read(), b.read())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op3_attention_lm, op4_scaled_sketch, op5_sainte_lague_mix, op6_ngram_jaccard_join, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op3_attention_lm, op4_scaled_sketch, op5_sainte_lague_mix, op6_ngram_jaccard_join, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe,
+                                     op11_token_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
