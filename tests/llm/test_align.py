@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 from functools import cache
 
-import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -65,7 +65,7 @@ def brute(docs: list[tuple]) -> list[tuple]:
         ga, gb = ([[] for _ in ends] for _ in range(2))
         for spans, groups in ((sa, ga), (sb, gb)):
             for _, e, x in spans:
-                groups[int(np.searchsorted(ends, e))].append(str(x))
+                groups[bisect_left(ends, e)].append(str(x))
         said = ";".join(",".join(x) + "|" + ",".join(y) for x, y in zip(ga, gb, strict=True))
         rows.append((doc_id, len(a), len(b), len(ends), links, hashlib.sha256(said.encode()).hexdigest() if a else ""))
         held.update(set(links))
