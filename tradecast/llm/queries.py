@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tradecast.llm import align, bpe, jaccard, langid, lm, mixing, nearest, quality, search, shard, sketch, toxicity
+from tradecast.llm import align, bpe, chat, jaccard, langid, lm, mixing, nearest, quality, search, shard, sketch, toxicity
 from tradecast.llm.common import table
 
 
@@ -61,10 +61,14 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_minimax_shards, op2_zstd_quality, op3_attention_lm, op4_scaled_sketch, op5_sainte_lague_mix, op6_ngram_jaccard_join, op7_toxicity_gbt, op8_projected_knn, op9_language_id, op10_byte_bpe,
-                                     op11_token_alignment, op12_ranked_search)}
+                                     op11_token_alignment, op12_ranked_search, op13_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_ranked_search": search.SQL}
+    return {"op12_ranked_search": search.SQL, "op13_chat_format": chat.SQL}
