@@ -116,6 +116,21 @@ def test_empty_table(spark):
 def test_windows_cover_their_bytes(size):
     a = align.Aligner(JSON_A, MODEL_B)
     ids_a, ids_b = a.tokens(["word " * size + "unsplittable" * size])[0]
-    groups, links = align.align_window(tuple(ids_a), tuple(ids_b), a.size_a, a.size_b)
+    groups, links = align.align_window(tuple(ids_a), tuple(ids_b), a.len_a, a.len_b)
     assert groups[-1] == (len(ids_a), len(ids_b))
     assert len(links) == len(ids_a) + len(ids_b) - len(groups)  # a staircase in each group
+
+
+def test_fast_encoder_gives_the_same_ids():
+    fast = align.fast_encoder(JSON_A)
+    # every code point beside letters, digits, blanks and itself
+    texts = [" " + " ".join(f"a{chr(c)}b{chr(c)}1 {chr(c)}{chr(c)}  {chr(c)}" for c in range(start, start + 64) if not 0xD800 <= c < 0xE000)
+             for start in range(0, 0x110000, 64)]
+    texts = [t for t in texts if t.strip()]
+    slow = [x.ids for x in TOKENIZER.encode_batch_fast(texts, add_special_tokens=False)]
+    different = [i for i, (t, x) in enumerate(zip(texts, slow, strict=True)) if fast.encode_ordinary(t) != x]
+    assert not different, (len(different), texts[different[0]][:40].encode("unicode_escape"))
+
+
+def test_another_file_goes_without_the_fast_encoder():
+    assert align.fast_encoder(JSON_A.replace('"use_regex":true', '"use_regex":false').replace('"use_regex": true', '"use_regex": false')) is None
