@@ -37,7 +37,11 @@ def m1_festival_calendar(c: Cleaned) -> DataFrame:
                         D.iso_week(D.mothers_day(y)).alias("mothers_iso_week"))
 
 
-def origin_features(panel: DataFrame, horizons: int = 12) -> DataFrame:
+#: Weeks before an origin that its features read.
+LOOK_BACK = 60
+
+
+def origin_features(panel: DataFrame, horizons: int = 12, before: int = 0, n_weeks: int | None = None) -> DataFrame:
     """Features at each origin T from rows <= T of the same series, plus the
     12 future targets, in ONE window stage partitioned by series.
 
@@ -47,6 +51,10 @@ def origin_features(panel: DataFrame, horizons: int = 12) -> DataFrame:
       364 days earlier, or NULL if that week was not observed;
     * targets (date, value, lag-52 of the target) are the next ``horizons`` rows,
       gathered by one ``collect_list`` over a ``rowsBetween(1, horizons)`` frame.
+
+    A panel cut to its last weeks gives their features if it has the
+    ``LOOK_BACK`` weeks before them; ``before`` is the number of weeks cut off,
+    ``n_weeks`` that of the whole panel.
     """
     day = F.datediff("week_end", F.lit("1970-01-01").cast("date"))
     p = panel.withColumn("_day", day)
@@ -56,11 +64,12 @@ def origin_features(panel: DataFrame, horizons: int = 12) -> DataFrame:
     y = F.col("demand")
     recent8 = F.sum(y).over(frame(-7))
     last_year8 = F.sum(y).over(w.rowsBetween(-59, -52))
-    idx = F.row_number().over(w) - 1
+    idx = F.row_number().over(w) - 1 + before
+    weeks = F.count("*").over(Window.partitionBy("series_id")) if n_weeks is None else F.lit(n_weeks)
     by_date_52 = F.max(y).over(w.rangeBetween(-364, -364))
     base = p.select(
         "series_id", "week_end", "demand", "_day", idx.alias("idx"),
-        F.count("*").over(Window.partitionBy("series_id")).alias("_n_weeks"),
+        weeks.alias("_n_weeks"),
         F.lag(y, 1).over(w).alias("y_T_1"), F.lag(y, 2).over(w).alias("y_T_2"),
         F.lag(y, 3).over(w).alias("y_T_3"),
         F.avg(y).over(frame(-3)).alias("ma_4"),
@@ -115,12 +124,12 @@ def m2_feature_sums(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
         *[F.sum(F.floor(F.col(x) * 1000 + 0.5).cast("long")).alias(f"milli_{x}") for x in parts])
 
 
-def direct_features(dense_panel: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def direct_features(dense_panel: DataFrame, p: Params = DEFAULT, before: int = 0, n_weeks: int | None = None) -> DataFrame:
     """(series, origin T, horizon h) rows from a dense panel (week_end, series_id, demand).
 
     Origins are panel positions ``first_origin … n_weeks − horizons − 1``; the
     horizons are exploded last, after every feature is fixed at T."""
-    f = origin_features(dense_panel, p.horizons)
+    f = origin_features(dense_panel, p.horizons, before, n_weeks)
     f = f.where((F.col("idx") >= p.first_origin) & (F.col("idx") <= F.col("_n_weeks") - (p.horizons + 1)))
     rows = (f.select("*", F.posexplode("_targets").alias("_pos", "_t"))
             .select("*", (F.col("_pos") + 1).alias("horizon"), "_t.*"))
@@ -147,15 +156,30 @@ def split_label(target: F.Column, p: Params = DEFAULT) -> F.Column:
 
 
 def m4_time_split(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
-    feats = m2_direct_features(c, p).select(split_label(F.col("target_date"), p).alias("split"), "target_date")
-    by_split = feats.groupBy("split").agg(F.count("*").alias("n_rows"))
-    retrain = (feats.where(F.col("target_date") <= F.lit(p.mid_end).cast("date"))
-               .agg(F.count("*").alias("n_rows")).select(F.lit("retrain").alias("split"), "n_rows"))
-    return by_split.unionByName(retrain)
+    split = split_label(F.col("target_date"), p)
+    known = F.coalesce(F.col("target_date") <= F.lit(p.mid_end).cast("date"), F.lit(False))
+    counts = m2_direct_features(c, p).groupBy(split.alias("split"), known.alias("known")).agg(F.count("*").alias("n"))
+    # a few rows from here on: those before the test period count once more
+    labels = F.when(F.col("known"), F.array("split", F.lit("retrain"))).otherwise(F.array("split"))
+    return counts.select(F.explode(labels).alias("split"), "n").groupBy("split").agg(F.sum("n").alias("n_rows"))
 
 
 def _test_rows(c: Cleaned, p: Params) -> DataFrame:
-    return m2_direct_features(c, p).where(F.col("target_date") >= F.lit(p.test_start).cast("date"))
+    """Rows of the test period.  Where the whole set is not written, its features
+    are made from the last weeks of the panel only."""
+    test_start = F.lit(p.test_start).cast("date")
+    if p.series_col != "product_id":
+        return m2_direct_features(c, p).where(F.col("target_date") >= test_start)
+    # one row for each week of the calendar
+    weeks = sorted(r["week_end"] for r in weekly_series(c, p.series_col).select("week_end").distinct().collect())
+    first = sum(str(w) < p.test_start for w in weeks)
+    before = max(0, first - p.horizons - LOOK_BACK)
+    panel = t3_dense_panel(c, p.series_col)
+    if before:
+        panel = panel.where(F.col("week_end") >= F.lit(weeks[before]))
+    # targets start at the test period, so no origin lies more than the horizons before it
+    rows = direct_features(panel, p, before, len(weeks))
+    return rows.where(F.col("target_date") >= test_start)
 
 
 def m5_seasonal_naive(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
@@ -190,9 +214,14 @@ def metrics(pred_long: DataFrame, p: Params = DEFAULT) -> DataFrame:
     y, yh = F.col("y_target").cast("double"), F.col("pred")
     cu = F.when(F.col("window_peak1") == 1, F.lit(p.cost_under_peak)).otherwise(F.lit(p.cost_under_normal))
     cost = F.greatest(y - yh, F.lit(0.0)) * cu + F.greatest(yh - y, F.lit(0.0)) * F.lit(p.cost_over)
+
+    def total(x: F.Column) -> F.Column:
+        """An exact sum of millionths: the same in any order of the rows."""
+        return F.sum(x.cast("decimal(28,6)")).cast("double")
+
     a = pred_long.groupBy("model").agg(
-        F.sum(F.abs(y - yh)).alias("_abs"), F.sum(y).alias("_y"), F.sum(yh).alias("_yh"),
-        F.sum((y - yh) * (y - yh)).alias("_sq"), F.count("*").alias("_n"), F.sum(cost).alias("_cost"))
+        total(F.abs(y - yh)).alias("_abs"), total(y).alias("_y"), total(yh).alias("_yh"),
+        total((y - yh) * (y - yh)).alias("_sq"), F.count("*").alias("_n"), total(cost).alias("_cost"))
     return a.select(
         "model",
         round_half_up(F.col("_abs") / F.col("_y") * F.lit(100.0), 2).alias("wape_pct"),
@@ -225,12 +254,14 @@ def m10_metrics_h12(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
 def h12_curve(pred_long: DataFrame, p: Params = DEFAULT,
               models: tuple = (MODEL_NAIVE, MODEL_GROWTH)) -> DataFrame:
     """Per target week (test, h = 12): actual and each model's summed prediction
-    (pivot with explicit values: no extra job to discover them)."""
+    in one aggregation."""
     h = pred_long.where(F.col("horizon") == p.horizons)
-    actual = (h.where(F.col("model") == MODEL_NAIVE).groupBy("target_date")
-              .agg(F.sum("y_target").alias("actual"), F.max("window_peak1").alias("window_peak1")))
-    preds = h.groupBy("target_date").pivot("model", list(models)).agg(F.sum("pred"))
-    return actual.join(preds, "target_date")
+
+    def of(model: str, x: str) -> F.Column:
+        return F.sum(F.when(F.col("model") == model, F.col(x)))
+
+    return h.groupBy("target_date").agg(of(MODEL_NAIVE, "y_target").alias("actual"), F.max("window_peak1").alias("window_peak1"),
+                                        *[of(m, "pred").alias(m) for m in models])
 
 
 def m11_h12_curve(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
@@ -264,7 +295,7 @@ def m12_capacity(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
 
 def m13_newsvendor(c: Cleaned, p: Params = DEFAULT) -> DataFrame:
     """Critical fractile α* = Cu / (Cu + Co) for each test target week (h = 12)."""
-    cur = h12_curve(baseline_predictions(c, p), p)
+    cur = _test_rows(c, p).where(F.col("horizon") == p.horizons).groupBy("target_date").agg(F.max("window_peak1").alias("window_peak1"))
     cu = F.when(F.col("window_peak1") == 1, F.lit(p.cost_under_peak)).otherwise(F.lit(p.cost_under_normal))
     return cur.select("target_date", "window_peak1", cu.alias("cost_under"), F.lit(p.cost_over).alias("cost_over"),
                       (cu / (cu + F.lit(p.cost_over))).alias("alpha"))
