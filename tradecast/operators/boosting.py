@@ -63,7 +63,7 @@ def mean_rounds(train: DataFrame, val: DataFrame, t: TreeParams = TreeParams())
         at, stopped = best_round(curve, t.patience)
         if stopped or rounds == t.rounds:
             return max(1, at), curve
-        rounds = min(t.rounds, 2 * rounds)
+        rounds = t.rounds if 3 * rounds > t.rounds else 2 * rounds
 
 
 def pinball(y: Column, pred: Column, alpha: float) -> Column:
