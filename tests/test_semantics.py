@@ -8,13 +8,15 @@ import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from reference_stats import adf_test
 
 from tradecast.functions import dates as D
 from tradecast.functions.numeric import ratio_half_up, round_half_up
 from tradecast.functions.text import pg_initcap
 from tradecast.operators import clean, profile
 from tradecast.operators.rank import dist_ntile, window_ntile
-from tradecast.operators.series import adf_test, durbin_levinson
+from tradecast.operators import series as S
+from tradecast.operators.series import durbin_levinson
 from tradecast.plans import forecast as M
 from tradecast.plans.params import DEFAULT
 
@@ -251,3 +253,28 @@ def test_adf_separates_random_walk_from_noise():
     assert noise["stationary_5pct"] == 1 and walk["stationary_5pct"] == 0
     # critical values follow the response surface in the number of observations
     assert noise["crit_5pct"] < -2.86 and noise["crit_1pct"] < noise["crit_5pct"] < noise["crit_10pct"]
+
+
+def test_adf_equals_the_direct_regression(spark):
+    rng = np.random.default_rng(11)
+    series = {"noise": rng.standard_normal(300), "walk": rng.standard_normal(300).cumsum() * 1e4 + 5e5, "short": rng.standard_normal(9),
+              "seasonal": 1e5 + 1e4 * np.sin(np.arange(345) / 8.3) + 2e3 * rng.standard_normal(345), "flat": np.ones(40), "two": np.array([1.0, 2.0])}
+    rows = [(k, i, float(v)) for k, x in series.items() for i, v in enumerate(x)]
+    out = {r["s"]: r for r in S.adf(spark.createDataFrame(rows, "s string, t int, y double").repartition(5), "s", "t", "y").collect()}
+    assert set(out) == set(series)
+    for k in ("noise", "walk", "seasonal", "short"):
+        want = adf_test(series[k])
+        assert (out[k]["n_obs"], out[k]["used_lag"], out[k]["stationary_5pct"]) == (want["n_obs"], want["used_lag"], want["stationary_5pct"])
+        assert out[k]["adf_stat"] == pytest.approx(want["adf_stat"], abs=2e-6) and out[k]["crit_5pct"] == pytest.approx(want["crit_5pct"], abs=1e-6)
+    assert out["noise"]["p_value"] < 0.001 < out["walk"]["p_value"]
+    assert all((out[k]["p_value"] <= 0.05) == bool(out[k]["stationary_5pct"]) for k in ("noise", "walk", "seasonal"))
+    assert all(out[k]["adf_stat"] is None and out[k]["n_obs"] == 0 for k in ("flat", "two"))
+
+
+def test_adf_p_value_and_normal_distribution(spark):
+    x = [-9.0, -7.5, -3.0, -0.1, 0.0, 1.96, 6.0, 9.0]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").coalesce(1).select(S.normal_cdf(F.col("x"))).collect()]
+    assert got == pytest.approx([0.5 * math.erfc(-v / math.sqrt(2)) for v in x], abs=1e-12)
+    # a published pair: statistic -3.2772, p = 0.015927
+    p = spark.createDataFrame([(-3.2772,), (-30.0,), (3.0,)], "t double").coalesce(1).select(S.adf_p_value(F.col("t"))).collect()
+    assert [r[0] for r in p] == pytest.approx([0.015927, 0.0, 1.0], abs=1e-4)

@@ -208,3 +208,51 @@ SQL["e4_pacf"] = q(f"""SELECT 'all' AS series_id, lag, {dbl_round('p', 6)} AS pa
 # Exact SQL twin of the per-product supervised set (millions of rows at sf0.01):
 # kept out of the driver's gate, compared in full at sf0.001 by tests/test_scale_paths.py.
 SLOW_SQL = {"m2_direct_features_by_product": SQL["m2_direct_features"].replace(*_BY_PRODUCT)}
+
+
+def adf(source: str) -> str:
+    """The ADF test of each series of ``source`` by successive orthogonalisation
+    of the regressors (no moments), and the normal distribution by Simpson's rule."""
+    def eliminate(name: str, start: str, last: str) -> str:
+        """Column after column is taken out of those behind it."""
+        return f"""{name} AS (
+          SELECT series_id, 0 AS j, {last} AS upto, cols FROM {start}
+          UNION ALL
+          SELECT series_id, j + 1, upto, list_transform(cols, lambda c, i: CASE WHEN i <= j + 1 THEN c ELSE
+            list_transform(list_zip(c, cols[j + 1]), lambda e: e[1] - e[2] *
+              (list_dot_product(c, cols[j + 1]) / list_dot_product(cols[j + 1], cols[j + 1]))) END)
+          FROM {name} WHERE j < upto)"""
+
+    def lagged(lags: str) -> str:
+        return f"list_transform(range(1, {lags} + 1), lambda j: list_transform(range({lags} + 1, n), lambda t: d[t - j]))"
+
+    def column(what: str, lags: str) -> str:
+        return f"list_transform(range({lags} + 1, n), lambda t: {what})"
+
+    crit = {c: f"{b[0]}e0 + {b[1]}e0 / n_obs + {b[2]}e0 / (n_obs * n_obs) + {b[3]}e0 / (n_obs * n_obs * n_obs)" for c, b in {
+        "1": (-3.43035, -6.5393, -16.786, -79.433), "5": (-2.86154, -2.8903, -4.234, -40.040), "10": (-2.56677, -1.5384, -2.809, 0.0)}.items()}
+    return q(f"""SELECT * FROM (
+    WITH RECURSIVE src AS (SELECT series_id, list(CAST(demand AS DOUBLE) ORDER BY week_end) AS y, CAST(count(*) AS INTEGER) AS n FROM {source} GROUP BY series_id),
+    lev AS (SELECT series_id, n, least(CAST(ceil(12 * pow(n / 100.0e0, 0.25e0)) AS INTEGER), n // 2 - 2) AS p,
+                   list_transform(y, lambda v: (v - list_avg(y)) / list_stddev_samp(y)) AS x FROM src),
+    dif AS (SELECT *, list_transform(range(1, n), lambda t: x[t + 1] - x[t]) AS d FROM lev WHERE p >= 0),
+    wide AS (SELECT series_id, n, p, list_concat(list_concat([{column('1.0e0', 'p')}, {column('x[t]', 'p')}], {lagged('p')}), [{column('d[t]', 'p')}]) AS cols FROM dif),
+    {eliminate('g', 'wide', 'p + 2')},
+    fits AS (SELECT g.series_id, j - 2 AS k, n - 1 - p AS nobs, list_dot_product(g.cols[-1], g.cols[-1]) AS ssr FROM g JOIN wide USING (series_id) WHERE j >= 2),
+    pick AS (SELECT series_id, CAST(arg_min(k, nobs * (ln({TWO_PI!r}) + ln(ssr / nobs) + 1) + 2 * (k + 2)) AS INTEGER) AS k FROM fits GROUP BY series_id),
+    wide2 AS (SELECT series_id, n, k, list_concat(list_concat([{column('1.0e0', 'k')}], {lagged('k')}), [{column('x[t]', 'k')}, {column('d[t]', 'k')}]) AS cols
+              FROM dif JOIN pick USING (series_id)),
+    {eliminate('h', 'wide2', 'k + 1')},
+    res AS (SELECT h.series_id, k AS used_lag, n - 1 - k AS n_obs, list_dot_product(h.cols[-1], h.cols[-2]) AS tr, list_dot_product(h.cols[-2], h.cols[-2]) AS rr,
+                   list_dot_product(h.cols[-1], h.cols[-1]) AS tt FROM h JOIN wide2 USING (series_id) WHERE j = upto),
+    st AS (SELECT *, (tr / rr) / sqrt((tt - tr * tr / rr) / (n_obs - used_lag - 2) / rr) AS t FROM res),
+    pz AS (SELECT *, CASE WHEN t <= -1.61e0 THEN 2.1659e0 + 1.4412e0 * t + 0.038269e0 * t * t
+                          ELSE 1.7339e0 + 0.93202e0 * t - 0.12745e0 * t * t - 0.010368e0 * t * t * t END AS z FROM st),
+    pv AS (SELECT *, CASE WHEN t < -18.83e0 THEN 0.0e0 WHEN t > 2.74e0 THEN 1.0e0 ELSE 0.5e0 + z / 6000 / sqrt({TWO_PI!r}) * list_sum(list_transform(range(0, 2001), lambda i:
+             exp(-(z * i / 2000) * (z * i / 2000) / 2) * CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)) END AS p_value FROM pz)
+    SELECT series_id, CAST(n_obs AS INTEGER) AS n_obs, used_lag, {dbl_round('t', 6)} AS adf_stat, {dbl_round('p_value', 6)} AS p_value,
+           {', '.join(f"{dbl_round(f'({x})', 6)} AS crit_{c}pct" for c, x in crit.items())}, CAST(t < {crit['5']} AS INTEGER) AS stationary_5pct FROM pv)""")
+
+
+SQL["e2_adf"] = adf("(SELECT 'all' AS series_id, week_end, demand FROM t_weekly)")
+SQL["e2_adf_by_series"] = adf("t_panel")
