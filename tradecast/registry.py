@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,14 +130,39 @@ def _features_from_mart(c: Cleaned) -> DataFrame:
 
 
 def _views_in_order(c: Cleaned) -> DataFrame:
-    """The layers as views, each over the one before, asked through SQL."""
+    """The layers as views, each over those that it reads, asked through SQL."""
+    from tradecast.sources import views as V
+    spark, prefix = c.roles.spark, f"v{uuid.uuid4().hex[:12]}_"
+    V.create_views(spark, c.roles, prefix, ["sales", "product"])
+    out = spark.sql(
+        f"SELECT p.kind, v.u FROM (SELECT product_id, sum(units) AS u FROM {prefix}sales GROUP BY product_id) v "
+        f"JOIN {prefix}product p USING (product_id)").groupBy(F.col("kind").alias("product_kind")).agg(F.sum("u").alias("total_units"))
+    V.drop_views(spark, prefix)
+    return out
+
+
+def _view_catalogue(c: Cleaned) -> DataFrame:
+    """All sixteen views, one count of each."""
+    from tradecast.sources import views as V
+    spark, prefix = c.roles.spark, f"v{uuid.uuid4().hex[:12]}_"
+    names = V.create_views(spark, c.roles, prefix)
+    sql = " UNION ALL ".join(f"SELECT '{n.removeprefix(prefix)}' AS view_name, count(*) AS n_rows FROM {n}" for n in names)
+    out = spark.sql(sql)
+    V.drop_views(spark, prefix)
+    return out
+
+
+def _load_enforced(r) -> DataFrame:
     from tradecast.sources import io as IO
-    spark = c.roles.spark
-    IO.define_views(spark, {"silver_sales": c.sales, "silver_product": c.product})
-    IO.define_views(spark, {"gold_sales_by_product": spark.sql(
-        "SELECT p.kind, v.u FROM (SELECT product_id, sum(units) AS u FROM silver_sales GROUP BY product_id) v "
-        "JOIN silver_product p USING (product_id)")})
-    return spark.sql("SELECT kind AS product_kind, sum(u) AS total_units FROM gold_sales_by_product GROUP BY kind")
+    from tradecast.sources import load as LD
+    # names of these parts repeat, so the id alone is their key
+    specs = {**CT.SPECS, "product": replace(CT.SPECS["product"], unique=[["product_id"]])}
+    return LD.load_all(r.spark, {n: IO.role_frame(r, n) for n in IO.LOAD_ORDER}, scratch_dir(r.spark, "enforced"), specs)
+
+
+def _permissive(r) -> DataFrame:
+    from tradecast.sources import load as LD
+    return LD.permissive_roundtrip(r.sale_raw, scratch_dir(r.spark, "csv-permissive"))
 
 
 def _quality_queries() -> dict[str, Callable]:
@@ -192,6 +218,10 @@ def _quality_queries() -> dict[str, Callable]:
         "features_rebuild": _r(lambda r: IO.features_source(r.spark, None, lambda: G.features_from_raw(r))),
         "features_from_mart": _c(_features_from_mart),
         "views_in_order": _c(_views_in_order),
+        "view_catalogue": _c(_view_catalogue),
+        "load_enforced": _r(_load_enforced),
+        "src_csv_permissive": _r(_permissive),
+        "mart_refresh_year": _c(lambda c: IO.restate_year(G.g1_sales_monthly(c), "sales_monthly", 1997, "total_units")),
         "mart_roundtrip": _c(lambda c: IO.materialise(G.g1_sales_monthly(c), "sales_monthly", ["year"])),
         "mart_rebuild_twice": _c(lambda c: IO.rebuild_twice(G.g1_sales_monthly(c), "sales_monthly", ["year"])),
         "mart_roundtrip_rfm": _c(lambda c: IO.materialise(G.g2_customer_rfm(c), "customer_rfm", ["segment"])),
@@ -262,12 +292,13 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from tradecast.oracle import layers as OL
     from tradecast.oracle import marts as OG
     from tradecast.oracle import measures as OB
     from tradecast.oracle import quality as OX
     from tradecast.oracle import questions as OQ
     from tradecast.oracle import series as OS
     out: dict[str, str] = {}
-    for part in (OQ.SQL, OG.SQL, OX.SQL, OB.SQL, OS.SQL):
+    for part in (OQ.SQL, OG.SQL, OX.SQL, OB.SQL, OS.SQL, OL.SQL):
         out.update(part)
     return out

@@ -136,6 +136,23 @@ def write_mart(df: DataFrame, path: str, partition_by: list[str] | None = None)
         df.write.mode("overwrite").parquet(path)
 
 
+def refresh_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replaces the partition values that ``df`` holds and leaves all others as
+    they are: a late period rewrites its own folder only."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def restate_year(df: DataFrame, name: str, year: int, column: str) -> DataFrame:
+    """S8 for one period: the mart by year, then one year restated (``column``
+    doubled) in a refresh of its own, read back whole."""
+    path = scratch_dir(df.sparkSession, f"mart-{name}")
+    write_mart(df, path, ["year"])
+    late = df.where(F.col("year") == year).withColumn(column, F.col(column) * 2)
+    refresh_partitions(late, path, ["year"])
+    return df.sparkSession.read.parquet(path).select(*df.columns)
+
+
 def define_views(spark: SparkSession, views: dict[str, DataFrame]) -> list[str]:
     """Temporary views in the order given (dependencies first); a view that
     exists is replaced."""
