@@ -17,7 +17,9 @@ import json
 import os
 import struct
 from array import array
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CHUNK_BYTES = 8 << 20   # text whose distinct pairs are exchanged together; one longer text is a chunk of its own
 BATCH_BYTES = 1 << 19   # text tokenised at a time
 MEMO_TOKENS = 4_000_000  # tokens in remembered windows before a task starts anew
+OTHER = 1 << 28         # marks the ids of the second tokenizer in a window's key
 BYTE_PIECE = 6          # length of a piece written <0xHH>
 
 LINES = ("array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string>>")
@@ -75,7 +78,7 @@ def marked_pieces(s: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return out
 
 
-def align_window(a: tuple[int, ...], b: tuple[int, ...], size_a: list[int], size_b: list[int]) -> tuple[list[tuple[int, int]], list[int]]:
+def align_window(a: Sequence[int], b: Sequence[int], size_a: list[int], size_b: list[int]) -> tuple[list[tuple[int, int]], list[int]]:
     """Groups, as (tokens of a, tokens of b) up to each shared end, and links, as
     codes (a's id << 32 | b's) of tokens whose bytes overlap; both sides hold the
     same bytes."""
@@ -137,16 +140,18 @@ class Aligner:
         self.forget()
 
     def forget(self) -> None:
-        self.memo: dict[tuple, int] = {}
+        self.memo: dict[bytes, int] = {}
         self.remembered = 0
         self.text: list[str] = []
         self.n_groups = array("q")
         self.pairs = array("q")          # pair codes of all windows, one after another
         self.first = array("q", [0])
 
-    def window(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
+    def window(self, key: bytes) -> int:
         """Aligns a window that is new, and gives its number."""
-        a, b = key
+        ids = np.frombuffer(key, np.int32).tolist()
+        first_b = bisect_left(ids, OTHER, key=lambda x: x & OTHER) if len(ids) > 2 else 1
+        a, b = ids[:first_b], [y - OTHER for y in ids[first_b:]]
         groups, links = align_window(a, b, self.len_a, self.len_b)
         says_a, says_b = [self.said_a[x] for x in a], [self.said_b[y] for y in b]
         said, i, j = [], 0, 0
@@ -171,7 +176,8 @@ class Aligner:
             coded = [x.ids for x in self.a.encode_batch_fast([" " + t for t in given], add_special_tokens=False)]
         for t, a, b in zip(given, coded, self.b.encode(given, num_threads=1), strict=True):
             whole = b" " + t.encode()
-            same = t and b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
+            bytes_a = self.fast.decode_bytes(a) if self.fast else b"".join(map(self.bytes_a.__getitem__, a))
+            same = t and bytes_a == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
             out.append((a, b) if same else ([], []))
         return out
 
@@ -183,14 +189,16 @@ class Aligner:
         have = [i for i, (a, _) in enumerate(coded) if a]
         if not have:
             return lines, *(np.zeros(0, np.int64) for _ in range(3))
-        la = [x for i in have for x in coded[i][0]]
-        lb = [x for i in have for x in coded[i][1]]
+        flat_a = np.fromiter(chain.from_iterable(coded[i][0] for i in have), np.int32)
+        flat_b = np.fromiter(chain.from_iterable(coded[i][1] for i in have), np.int32)
         n_a, n_b = np.array([len(coded[i][0]) for i in have]), np.array([len(coded[i][1]) for i in have])
-        cut_a, cut_b = self._anchors(np.array(la), np.array(lb), np.cumsum(n_a), np.cumsum(n_b))
+        cut_a, cut_b = self._anchors(flat_a, flat_b, np.cumsum(n_a), np.cumsum(n_b))
+        # the id tuples of a window as one string of 32-bit ids, those of b marked
+        ids_a, ids_b = flat_a.tobytes(), (flat_b + OTHER).astype(np.int32).tobytes()
         found, known = [], self.memo.get
         i = j = 0
-        for k, m in zip(cut_a.tolist(), cut_b.tolist(), strict=True):
-            key = (tuple(la[i:k]), tuple(lb[j:m]))
+        for k, m in zip((4 * cut_a).tolist(), (4 * cut_b).tolist(), strict=True):
+            key = ids_a[i:k] + ids_b[j:m]
             at = known(key)
             found.append(self.window(key) if at is None else at)
             i, j = k, m
