@@ -142,3 +142,14 @@ def test_edited_text(docs):
         assert out[k]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert out[k]["n_chars"] == len(text)
     assert out[104]["fingerprint"] == out[105]["fingerprint"]  # equal words
+
+
+def test_nearest_of_an_id_with_several_vectors(spark):
+    rows = [(50, [1.0, 0.0, 0.1]), (50, [0.0, 1.0, 0.1]), (50, [0.0, 1.0, 0.1]), (1, [1.0, 0.1, 0.0]), (2, [0.1, 1.0, 0.0]), (3, [0.0, 0.9, 0.2])]
+    answers = set()
+    for parts in (1, 2, 5):
+        for turned in (rows, rows[::-1]):
+            df = spark.createDataFrame(turned, "vec_id long, embedding array<double>").repartition(parts)
+            answers.add(tuple((r["vec_id"], round(r["score"], 9)) for r in nearest.nearest(df).orderBy("rank").collect()))
+    # it asks with [0, 1, 0.1]
+    assert len(answers) == 1 and [i for i, _ in next(iter(answers))] == [3, 2, 1]

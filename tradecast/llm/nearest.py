@@ -166,7 +166,8 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
 
     Vectors that are null, zero, or hold null or non-finite components take no
     part, nor do rows without an id, nor vectors of another length than most.
-    Repeated rows count once.  Fewer candidates than ``k`` are all returned;
+    Repeated rows count once.  An id with several vectors asks with the least of
+    them (component by component), and each of them is a candidate.  Fewer candidates than ``k`` are all returned;
     an empty table gives no rows.
     """
     spark = vectors.sparkSession
@@ -196,7 +197,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     salts = spark.createDataFrame([(c, max(1, -(-m // BLOCK_ROWS))) for c, m in sizes.items()], "cell int, salts int")
     rows = placed.join(F.broadcast(salts), "cell").withColumn("salt", F.pmod(F.xxhash64("vec_id"), "salts").cast("int"))
     blocks = rows.select("cell", "salt", "vec_id", "v")
-    queries = placed.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = placed.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("v", "cell")).alias("least")).select("vec_id", "least.*")
     result = "query_id long, vec_id long, score double"
 
     def search(_: tuple, block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
