@@ -8,10 +8,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tradecast.operators import profile as PR
 from tradecast.registry import cleaned
 from tradecast.sources import io as IO
 from tradecast.sources import load as LD
 from tradecast.sources import views as V
+from tradecast.sources.roles import Roles
 
 DAY = dt.date(2000, 1, 1)
 PRODUCTS = [(1, "Rose", "LARGE", "red"), (2, "Lily", "HUGE", "white"), (3, "Rose", "SMALL", "pink"), (4, None, "SMALL", "x"), (5, "Iris", "SMALL", "blue")]
@@ -99,3 +101,48 @@ def test_views_answer_as_their_frames_and_go(spark, sf_dir):
     assert len(gone) == 16 and gone.index("a_sales_monthly") < gone.index("a_sales") < gone.index("a_customer_map")
     assert not spark.catalog.tableExists("a_sales") and spark.catalog.tableExists("b_product")
     assert V.drop_views(spark, "b_") == ["b_product"]
+
+
+def test_bucketed_facts_join_without_an_exchange(spark, sf_dir):
+    plain, dealt = Roles(spark, sf_dir), Roles(spark, sf_dir, buckets=8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name in ("sale_raw", "production"):
+            got, want = getattr(dealt, name), getattr(plain, name)
+            plan = [x._jdf.queryExecution().executedPlan().toString() for x in (got, want)]
+            assert "Exchange" not in plan[0] and "SortMergeJoin" in plan[0], plan[0]
+            assert "Exchange" in plan[1]
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        # columns are pruned at the bucketed scan too
+        assert "l_comment" not in dealt.sale_raw._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sketches_of_periods_merge_to_the_profile(spark, tmp_path):
+    rows = spark.range(60_000).select(
+        "id", F.when(F.col("id") % 7 > 0, F.col("id") % 9973).alias("few"), F.lit(None).cast("date").alias("never"),
+        (1990 + F.col("id") % 4).cast("int").alias("year"))
+    path = str(tmp_path / "sketches")
+    IO.write_mart(PR.profile_sketches(rows, "year"), path, ["period"])
+    exact = {r["column_name"]: r for r in PR.column_profile(rows).collect()}
+
+    def merged():
+        return {r["column_name"]: r for r in PR.merged_profile(spark.read.parquet(path)).collect()}
+    got = merged()
+    assert set(got) == set(exact)
+    for c, r in got.items():
+        assert (r["data_type"], r["null_count"], r["null_pct"]) == (exact[c]["data_type"], exact[c]["null_count"], exact[c]["null_pct"])
+        assert abs(r["distinct_count"] - exact[c]["distinct_count"]) <= PR.distinct_error() * exact[c]["distinct_count"]
+    # a late year replaces its own sketches: the merged profile is that of the new rows
+    late = rows.where("year = 1991").withColumn("id", F.col("id") + 1_000_000).limit(100)
+    IO.refresh_partitions(PR.profile_sketches(late, "year"), path, ["period"])
+    assert abs(merged()["id"]["distinct_count"] - 45_100) <= PR.distinct_error() * 45_100
+    assert PR.profile_error(PR.merged_profile(spark.read.parquet(path)), PR.column_profile(rows.where("year != 1991").unionByName(late))).where(
+        "NOT within_error").count() == 0
+
+
+def test_sketches_of_nothing(spark):
+    empty = spark.createDataFrame([], "a int, year int")
+    assert PR.profile_sketches(empty, "year").count() == PR.merged_profile(PR.profile_sketches(empty, "year")).count() == 0

@@ -125,5 +125,46 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
                       (F.col("null_count") * 100 / F.col("_n")).alias("null_pct"), F.col("distinct_count").cast("long"))
 
 
+PROFILE_LG_K = 14  # log2 of a sketch's registers: some 16 KB at most, whatever the rows
+
+
+def distinct_error(lg_k: int = PROFILE_LG_K) -> float:
+    """Three standard errors of a union of sketches, as a share of the count."""
+    return 3 * 1.04 / 2 ** (lg_k / 2)
+
+
+def profile_sketches(df: DataFrame, period: str, lg_k: int = PROFILE_LG_K) -> DataFrame:
+    """One row per value of ``period`` and column: its type, ``n_rows``,
+    ``null_count`` and ``sketch``, a HyperLogLog sketch of the values.  One pass
+    with a map-side combine.  A period that changes is sketched anew by itself
+    (``refresh_partitions``); the others are not read again."""
+    dtypes = dict(df.dtypes)
+    cols = df.columns
+    pairs = ", ".join(f"'{c}', '{dtypes[c]}', n{i}, s{i}" for i, c in enumerate(cols))
+    per = df.groupBy(F.col(period).alias("_period")).agg(
+        F.count("*").alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(lg_k)).alias(f"s{i}") for i, c in enumerate(cols)])
+    return per.selectExpr("_period AS period", "n_rows", f"stack({len(cols)}, {pairs}) AS (column_name, data_type, null_count, sketch)")
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all periods from their sketches: the columns of
+    ``column_profile``, ``distinct_count`` within ``distinct_error``."""
+    return sketches.groupBy("column_name", "data_type").agg(
+        F.sum("n_rows").alias("_n"), F.sum("null_count").alias("null_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count")).select(
+        "column_name", "data_type", F.col("null_count").cast("long"),
+        (F.col("null_count") * 100 / F.col("_n")).alias("null_pct"), F.col("distinct_count").cast("long"))
+
+
+def profile_error(merged: DataFrame, exact: DataFrame, lg_k: int = PROFILE_LG_K) -> DataFrame:
+    """The merged profile, and whether its distinct counts are within the error
+    of the exact ones."""
+    true = exact.select("column_name", F.col("distinct_count").alias("_true"))
+    return merged.join(true, "column_name").select(
+        "column_name", "data_type", "null_count", "null_pct",
+        (F.abs(F.col("distinct_count") - F.col("_true")) <= F.ceil(F.col("_true") * distinct_error(lg_k))).alias("within_error"))
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n_rows"))

@@ -1,5 +1,5 @@
 """Oracle SQL for the view catalogue, the enforced load, the permissive scan and
-the refresh of one period (DuckDB dialect)."""
+the refresh of one period, bucketed bronze and merged profiles (DuckDB dialect)."""
 
 from __future__ import annotations
 
@@ -29,6 +29,10 @@ SQL = {
     "src_csv_permissive": f"""SELECT CASE WHEN order_id % 97 = 0 THEN 'malformed' ELSE 'good' END AS status, count(*) AS n_rows,
         CAST(sum(CASE WHEN order_id % 97 = 0 THEN 0 ELSE units END) AS BIGINT) AS units,
         CAST(sum(CASE WHEN order_id % 97 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_texts FROM ({OX.SQL['src_csv']}) GROUP BY 1""",
+    "bucketed_sales": OX.SQL["src_csv"],
+    "bucketed_production": OX.SQL["src_csv_production"],
+    # the sketches' distinct counts are within their error
+    "dq_profile_merged": f"SELECT column_name, data_type, null_count, null_pct, TRUE AS within_error FROM ({OX.SQL['dq_profile']})",
     "mart_refresh_year": f"""SELECT * REPLACE (CASE WHEN year = 1997 THEN total_units * 2 ELSE total_units END AS total_units)
         FROM ({OG.SQL['g1_sales_monthly']})""",
 }

@@ -36,6 +36,7 @@ def _models():
 
 
 _SILVER: dict[tuple[str, str], Cleaned] = {}
+_BUCKETED: dict = {}
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
@@ -52,7 +53,8 @@ def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
 def refresh(spark: SparkSession, sf_dir: str) -> None:
     """Forget the layers written for ``sf_dir``: the next query reads the
     sources anew.  Call it when files under ``sf_dir`` have changed."""
-    _SILVER.pop((spark.sparkContext.applicationId, sf_dir), None)
+    for layer in (_SILVER, _BUCKETED):
+        layer.pop((spark.sparkContext.applicationId, sf_dir), None)
 
 
 def _r(fn):
@@ -152,6 +154,35 @@ def _view_catalogue(c: Cleaned) -> DataFrame:
     return out
 
 
+def _bucketed(name: str):
+    """An entity that joins the order facts, off bronze tables bucketed by
+    order key; written once for each application and source folder."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tradecast.sources.roles import Roles
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _BUCKETED:
+            _BUCKETED[key] = Roles(spark, sf_dir, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return getattr(_BUCKETED[key], name)
+    return run
+
+
+def _profile_merged(c: Cleaned) -> DataFrame:
+    """DQ13, mergeable: sketches by year, written; one year sketched anew in its
+    own folder; all merged, and held against the exact profile."""
+    from tradecast.sources import io as IO
+    features = G.g5_demand_features(c)
+    dated = features.withColumn("_year", F.year("sale_date"))
+    path = scratch_dir(c.roles.spark, "profile-sketches")
+    fields = features.columns
+
+    def sketches(rows: DataFrame) -> DataFrame:
+        return PR.profile_sketches(rows, "_year").where(F.col("column_name").isin(fields))
+
+    IO.write_mart(sketches(dated), path, ["period"])
+    IO.refresh_partitions(sketches(dated.where("_year = 1997")), path, ["period"])
+    return PR.profile_error(PR.merged_profile(c.roles.spark.read.parquet(path)), PR.column_profile(features))
+
+
 def _load_enforced(r) -> DataFrame:
     from tradecast.sources import io as IO
     from tradecast.sources import load as LD
@@ -200,6 +231,9 @@ def _quality_queries() -> dict[str, Callable]:
         "dq_residual_dups": _c(lambda c: PR.residual_duplicates(c.movements)),
         "dq_residual_logical": _c(lambda c: PR.residual_logical(c.customer)),
         "dq_profile": _c(lambda c: PR.column_profile(G.g5_demand_features(c))),
+        "dq_profile_merged": _c(_profile_merged),
+        "bucketed_sales": _bucketed("sale_raw"),
+        "bucketed_production": _bucketed("production"),
         "dq_value_counts": _c(lambda c: PR.value_counts(G.g5_demand_features(c), "product_kind")),
         "fn_strings": _r(X.fn_strings),
         "fn_initcap": _r(X.fn_initcap),

@@ -7,6 +7,8 @@ All written tables go to a fresh folder under the shared checkpoint folder
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,6 +145,18 @@ def refresh_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
      .partitionBy(*partition_by).parquet(path))
 
 
+def bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as a table of the catalog in ``buckets`` files by ``key``, sorted
+    within each, in the shared folder.  Joins and groupings of such tables on
+    their key need no exchange, and joins no sort.  Give tables that meet the
+    same number of buckets, some 256 MB of the largest each."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", scratch_dir(spark, f"bucketed-{name}")).saveAsTable(table))
+    return spark.table(table)
+
+
 def restate_year(df: DataFrame, name: str, year: int, column: str) -> DataFrame:
     """S8 for one period: the mart by year, then one year restated (``column``
     doubled) in a refresh of its own, read back whole."""

@@ -5,9 +5,9 @@ blank variants, country spellings, NULL prices, duplicate customers, repeated
 movement keys) is derived from keys, so any engine sees the same input.
 
 Only the needed columns are read (Catalyst prunes the parquet ``ReadSchema``).
-The two fact-to-fact joins (lineitem ⋈ orders) are equi-joins on the order key;
-on a cluster the bronze copies of these tables should be bucketed by order key
-so that the join needs no shuffle.
+The two fact-to-fact joins (lineitem ⋈ orders) are equi-joins on the order key.
+With ``buckets`` these tables are written once, bucketed by that key, and neither
+the joins nor the grouping of lines by order shuffle.
 """
 
 from __future__ import annotations
@@ -19,10 +19,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradecast.sources.io import bucketed
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
+#: Tables that meet on the order key.
+BUCKET_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def customer_id(key, duplicate: bool = False):
     """Disjoint ids for any key: the customer itself is even, its injected
     logical duplicate odd (and larger)."""
@@ -77,8 +83,14 @@ class Roles:
     spark: SparkSession
     sf_dir: str
     store: str | None = None
+    buckets: int | None = None  # of the order facts; none: read as they lie
 
     def t(self, name: str) -> DataFrame:
+        if self.buckets and name in BUCKET_KEYS:
+            memo = self.__dict__.setdefault("_bucketed", {})
+            if name not in memo:
+                memo[name] = bucketed(read_table(self.spark, self.sf_dir, name), name, BUCKET_KEYS[name], self.buckets)
+            return memo[name]
         return read_table(self.spark, self.sf_dir, name)
 
     # ---------------------------------------------------------------- dims
