@@ -4,7 +4,9 @@ A document's sketch holds every hash of its five-word shingles below a fixed
 fraction of the hash range (and the smallest hash, if none is).  The sketch of
 a union is the union of sketches cut the same way, so sketches merge, and the
 shares of common hashes estimate Jaccard similarity and containment even
-between texts of very unequal length.
+between texts of very unequal length.  With one hash in two kept, the standard
+error of a likeness J of two texts is about sqrt(J (1 - J) / n), n the number of
+their distinct shingles: 0.05 at most for 100, 0.025 for 400.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from tradecast.llm.common import ordered
 
 SHINGLE = 5
 BITS = 48          # of a hash
-FRACTION = 8       # one hash in so many is kept
+FRACTION = 2       # one hash in so many is kept
 DIGITS = BITS // 4
 BUCKET_ROWS = 2048 # neighbouring documents of a bucket, about
 
@@ -138,12 +140,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_key"),
         F.xxhash64(text).alias("_crc"), text.alias("text"))
-    rows = rows.select("*", F.length("text").cast("long").alias("n_chars"), sketch(F.col("text")).alias("sk"))
-    rows = with_next(rows, ["text", "sk"])
+    rows = rows.select("*", F.length("text").cast("long").alias("n_chars"))
+    rows = with_next(rows, ["text"])  # texts alone are dealt: their sketches would take more room
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
-    rows = rows.select("doc_id", "n_chars", "sk", "next_sk", edited.alias("edited"))
-    rows = rows.select("*", sketch(F.col("edited")).alias("esk"))
+    rows = rows.select("doc_id", "n_chars", "text", "next_text", edited.alias("edited"))
+    rows = rows.select("doc_id", "n_chars", "edited", sketch(F.col("text")).alias("sk"),
+                       sketch(F.col("next_text")).alias("next_sk"), sketch(F.col("edited")).alias("esk"))
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_string(F.col("sk")).alias("fingerprint"), as_string(F.col("esk")).alias("edited_fingerprint"),
