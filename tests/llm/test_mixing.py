@@ -51,8 +51,8 @@ def test_mix_comes_near_its_targets(spark):
     rng = random.Random(3)
     rows = [(i, " ".join("w" * rng.randint(1, 5) for _ in range(rng.choice([0, 3, 30, 400]))), rng.choice(["a", "b", "c", "d", None])) for i in range(2000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
-    out = mixing.mix_counts(df).toPandas()
-    again = mixing.mix_counts(df.repartition(3)).toPandas()
+    out = mixing.mix_counts(df).toPandas().drop(columns="taken_by_shard")
+    again = mixing.mix_counts(df.repartition(3)).toPandas().drop(columns="taken_by_shard")
     assert out.sort_values("doc_id").reset_index(drop=True).equals(again.sort_values("doc_id").reset_index(drop=True))
     assert (out["taken"] <= 3 * out["size"]).all()
     for (size, target), g in out.groupby(["source_size", "target"]):
@@ -83,3 +83,36 @@ def test_small_source_is_taken_three_times(spark, monkeypatch):
     assert abs(sum(t for k, (_, t) in taken.items() if k < 1000) - (500_200 - 600)) < 128
     texts = [r["text"] for r in mixing.mix_documents(df).where("doc_id = 1000").collect()]
     assert texts == ["x y z"] * 3
+
+
+def test_seats_fall_to_shards_by_their_quotas(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join("w" * rng.randint(1, 5) for _ in range(rng.choice([0, 3, 30, 400]))), rng.choice(["a", "b", "b", "b", "c", None])) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = mixing._sized(df)
+    planned, length = mixing.plan_mix(sized)
+    out = planned.collect()
+    sizes = {}
+    for r in out:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["_size"]
+    _, per = mixing.quotas(sizes)
+    for q in per:
+        # seat by seat: the block of every seat, its shard, and the words that documents have in it
+        ends = [sum(q.by_shard[:h + 1]) for h in range(len(q.by_shard))]
+        block_at = {(q.mult * b + q.shift) % q.blocks: b for b in range(q.blocks)}
+        mine = [r for r in out if r["source"] == q.source]
+        want = {r["doc_id"]: [0] * len(ends) for r in mine}
+        for k in range(q.quota):
+            b = block_at[k % q.blocks]
+            h = sum(e <= k for e in ends)
+            for r in mine:
+                words = min((b + 1) * length, r["_start"] + r["_size"]) - max(b * length, r["_start"])
+                if words > 0:
+                    want[r["doc_id"]][h] += words
+        assert {r["doc_id"]: r["_by_shard"] for r in mine} == want
+    assert all(sum(r["_by_shard"]) == r["_taken"] for r in out)
+    # the rows of the mix: each in the shard of a seat of its own, their words those taken
+    mixed = mixing.mix_documents(df.withColumn("part", df.doc_id), shard="part").collect()
+    by_doc = {r["doc_id"]: r["_by_shard"] for r in out}
+    assert all(by_doc[r["doc_id"]][r["part"]] > 0 for r in mixed)
+    assert sum(len(r["text"].split()) for r in mixed) == sum(r["_taken"] for r in out)

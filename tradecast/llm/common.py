@@ -67,13 +67,13 @@ def map_texts(docs: DataFrame, new: dict[str, T.DataType], start: Callable[[], C
 _ARROW = {"string": pa.string(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32())}
 
 
-def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[..., DataFrame]]:
     """``docs`` with all columns but ``used`` under names that clash with none,
-    and the way back to the columns and names of ``docs``."""
+    and the way back to the columns and names of ``docs``, and further columns."""
     names = docs.columns
     alias = {c: c if c in used else f"_column_{i}" for i, c in enumerate(names)}
     out = docs.toDF(*[alias[c] for c in names])
-    return out, lambda df: df.select(*[F.col(alias[c]).alias(c) for c in names])
+    return out, lambda df, *more: df.select(*[F.col(alias[c]).alias(c) for c in names], *more)
 
 
 def ordered(df: DataFrame, order: list[Column], name: str) -> DataFrame:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,7 +130,8 @@ def _sized(docs: DataFrame) -> DataFrame:
 def plan_mix(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, int]:
     """Adds to rows with ``doc_id``, ``source``, ``_size`` and ``_crc`` the
     fields of the source's quota, ``_start`` (words of the source before the
-    row) and ``_taken`` words.  Also returns the block length."""
+    row), ``_by_shard`` (words taken in each shard) and ``_taken`` (in all).
+    Also returns the block length."""
     spark = sized.sparkSession
     placed = _placed(sized, seed)
     # one row per range and source in it
@@ -142,14 +144,15 @@ def plan_mix(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[
     length, per = quotas(total, shards, seed)
     offsets = spark.createDataFrame(before, "_pid int, _src string, _before long")
     params = spark.createDataFrame(
-        [(q.source, q.size, q.target, q.blocks, q.quota, q.mult, q.shift) for q in per],
-        "_src string, _source_size long, _target double, _blocks long, _quota long, _mult long, _shift long")
+        [(q.source, q.size, q.target, q.blocks, q.quota, q.mult, q.shift, list(accumulate(q.by_shard))) for q in per],
+        "_src string, _source_size long, _target double, _blocks long, _quota long, _mult long, _shift long, _upto array<long>")
     # broadcasts: a row per range and source, and a row per source
     out = _running(placed).alias("p").join(F.broadcast(offsets.alias("o")), F.expr("p._pid = o._pid AND p.source <=> o._src"))
     out = out.select("p.*", "o._before").join(F.broadcast(params), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
     out = out.withColumn("_start", F.col("_before") + F.col("_in_range"))
-    taken = F.when(F.col("_size") == 0, F.lit(0)).otherwise(_rounds() * F.col("_size") + _last_round(length))
-    return out.withColumn("_taken", taken.cast("long")), length
+    nothing = F.transform("_upto", lambda _: F.lit(0).cast("long"))
+    out = out.withColumn("_by_shard", F.when(F.col("_size") == 0, nothing).otherwise(_by_shard(length)))
+    return out.withColumn("_taken", F.aggregate("_by_shard", F.lit(0).cast("long"), lambda a, n: a + n)), length
 
 
 def _rounds() -> Column:
@@ -157,20 +160,42 @@ def _rounds() -> Column:
     return F.floor(F.col("_quota") / F.greatest(F.col("_blocks"), F.lit(1))).cast("long")
 
 
-def _last_round(length: int) -> Column:
-    """Words of the row in blocks that have a seat in the round after those."""
-    first = F.floor(F.col("_start") / length).cast("long")
-    last = F.floor((F.col("_start") + F.col("_size") - 1) / length).cast("long")
-    words = F.aggregate(
-        F.sequence(first, last), F.lit(0).cast("long"),
-        lambda acc, b: acc + F.when(_chosen(b), F.least((b + 1) * length, F.col("_start") + F.col("_size"))
-                                    - F.greatest(b * length, F.col("_start"))).otherwise(F.lit(0)))
-    return F.when(F.col("_quota") % F.col("_blocks") == 0, F.lit(0)).otherwise(words)
+def _overlap(block: Column, length: int) -> Column:
+    """Words of the row in a block of its source."""
+    return F.least((block + 1) * length, F.col("_start") + F.col("_size")) - F.greatest(block * length, F.col("_start"))
+
+
+def _blocks_of(length: int) -> Column:
+    """The blocks that a row with words has a part in."""
+    return F.sequence(F.floor(F.col("_start") / length).cast("long"),
+                      F.floor((F.col("_start") + F.col("_size") - 1) / length).cast("long"))
+
+
+def _place(block: Column) -> Column:
+    """Where a block comes in the seeded permutation of its source; its seats are
+    that one and every ``_blocks``-th after it, below the quota."""
+    return (F.col("_mult") * block + F.col("_shift")) % F.col("_blocks")
+
+
+def _by_shard(length: int) -> Column:
+    """Words taken of the row in each shard, which has the seats from the quotas
+    of the shards before it to its own."""
+    def seats(block: Column, end: Column) -> Column:
+        """Seats of a block below ``end``."""
+        return F.greatest(F.floor((end - _place(block) + F.col("_blocks") - 1) / F.col("_blocks")), F.lit(0)).cast("long")
+
+    def words(end: Column, h: Column) -> Column:
+        begin = F.when(h == 0, F.lit(0).cast("long")).otherwise(F.get("_upto", h - 1))
+        return F.when(begin == end, F.lit(0).cast("long")).otherwise(F.aggregate(
+            _blocks_of(length), F.lit(0).cast("long"),
+            lambda n, b: n + _overlap(b, length) * (seats(b, end) - seats(b, begin))))
+
+    return F.transform("_upto", words)
 
 
 def _chosen(block: Column) -> Column:
     """Whether the block has a seat in the round after the whole ones."""
-    return (F.col("_mult") * block + F.col("_shift")) % F.col("_blocks") < F.col("_quota") % F.col("_blocks")
+    return _place(block) < F.col("_quota") % F.col("_blocks")
 
 
 def _running(placed: DataFrame) -> DataFrame:
@@ -181,7 +206,8 @@ def _running(placed: DataFrame) -> DataFrame:
 
 
 def mix_counts(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of ``docs``.
+    """doc_id, size, source_size, target, taken, taken_by_shard (of ``shards``
+    entries) for every row of ``docs``.
 
     A null text has size 0; a null source is a source of its own, the last;
     repeated rows are documents of their own; an empty table gives no rows.
@@ -190,16 +216,18 @@ def mix_counts(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     slim = _sized(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")).drop("text")
     planned, _ = plan_mix(slim, shards, seed)
     return planned.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
-                          F.col("_target").alias("target"), F.col("_taken").alias("taken"))
+                          F.col("_target").alias("target"), F.col("_taken").alias("taken"), F.col("_by_shard").alias("taken_by_shard"))
 
 
-def mix_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, shard: str | None = None) -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each round in which
     a document has words taken.  Where a block boundary cuts a document, the
     row's text holds the words of the taken blocks (with the blanks before
     them) and ``n_chars``, if there, their length; else the text is unchanged.
-    Documents without words are never taken."""
-    docs, back = shielded(docs, ("doc_id", "source", "text", "n_chars"))
+    Documents without words are never taken.  With ``shard``, a column of that
+    name holds the shard of the seat of the row's first taken block; a column of
+    ``docs`` of that name goes."""
+    docs, back = shielded(docs.drop(shard) if shard else docs, ("doc_id", "source", "text", "n_chars"))
     planned, length = plan_mix(_sized(docs), shards, seed)
     part = F.col("_taken") - _rounds() * F.col("_size")
     rounds = planned.withColumn("_part", part).withColumn(
@@ -212,4 +240,10 @@ def mix_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
     rounds = rounds.withColumn("text", F.when(cut, kept).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         rounds = rounds.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return back(rounds)
+    if not shard:
+        return back(rounds)
+    taken = F.filter(_blocks_of(length), lambda b: ~F.col("_last") | _chosen(b))
+    seat = (F.col("_round") - 1) * F.col("_blocks") + _place(F.get(taken, F.lit(0)))
+    rounds = rounds.withColumn("_seat", seat)
+    of = F.size(F.filter("_upto", lambda end: end <= F.col("_seat")))
+    return back(rounds, of.alias(shard))
