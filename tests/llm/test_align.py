@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections import Counter
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -116,9 +117,9 @@ def test_empty_table(spark):
 def test_windows_cover_their_bytes(size):
     a = align.Aligner(JSON_A, MODEL_B)
     ids_a, ids_b = a.tokens(["word " * size + "unsplittable" * size])[0]
-    groups, links = align.align_window(tuple(ids_a), tuple(ids_b), a.len_a, a.len_b)
-    assert groups[-1] == (len(ids_a), len(ids_b))
-    assert len(links) == len(ids_a) + len(ids_b) - len(groups)  # a staircase in each group
+    ends, links, both, end_a, end_b = align.align_windows(np.array(ids_a), np.array(ids_b), a.size_a, a.size_b)
+    assert both[-1] and ends[-1] == end_a[-1] == end_b[-1] and len(end_a) == len(ids_a) and len(end_b) == len(ids_b)
+    assert len(links) == len(ids_a) + len(ids_b) - both.sum()  # a staircase in each group
 
 
 def test_fast_encoder_gives_the_same_ids():

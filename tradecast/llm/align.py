@@ -17,8 +17,8 @@ import json
 import os
 import struct
 from array import array
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -39,7 +39,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 CHUNK_BYTES = 8 << 20   # text whose distinct pairs are exchanged together; one longer text is a chunk of its own
 BATCH_BYTES = 1 << 19   # text tokenised at a time
-MEMO_TOKENS = 4_000_000  # tokens in remembered windows before a task starts anew
+MEMO_TOKENS = 4_000_000  # tokens in remembered windows before a process starts anew
 OTHER = 1 << 28         # marks the ids of the second tokenizer in a window's key
 BYTE_PIECE = 6          # length of a piece written <0xHH>
 
@@ -78,29 +78,20 @@ def marked_pieces(s: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return out
 
 
-def align_window(a: Sequence[int], b: Sequence[int], size_a: list[int], size_b: list[int]) -> tuple[list[tuple[int, int]], list[int]]:
-    """Groups, as (tokens of a, tokens of b) up to each shared end, and links, as
-    codes (a's id << 32 | b's) of tokens whose bytes overlap; both sides hold the
-    same bytes."""
-    if len(a) == 1 or len(b) == 1:  # one group in which all meet
-        return [(len(a), len(b))], [x << 32 | y for x in a for y in b]
-    groups, links = [], []
-    i = j = 0
-    lead = size_a[a[0]] - size_b[b[0]]  # bytes by which a's token ends after b's
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if lead == 0:
-            i, j = i + 1, j + 1
-            groups.append((i, j))
-            if i == len(a):
-                return groups, links
-            lead = size_a[a[i]] - size_b[b[j]]
-        elif lead < 0:
-            i += 1
-            lead += size_a[a[i]]
-        else:
-            j += 1
-            lead -= size_b[b[j]]
+def align_windows(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Aligns the tokens of windows, one after another; both sides hold the same
+    bytes.  Between two neighbouring ends, of whichever side, lies a piece of one
+    token of each: a link.  Gives where the links end, their codes (a's id << 32
+    | b's), whether both tokens end there, and where the tokens end."""
+    end_a, end_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+    ends = np.unique(np.concatenate((end_a, end_b)))
+    i, j = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
+    return ends, a[i].astype(np.int64) << 32 | b[j], (end_a[i] == ends) & (end_b[j] == ends), end_a, end_b
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``size`` of them."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
 def fast_encoder(json_a: str) -> tiktoken.Encoding | None:
@@ -132,9 +123,8 @@ class Aligner:
         self.fast = fast_encoder(json_a)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         self.bytes_a, self.bytes_b = byte_level_pieces(self.a), marked_pieces(self.b)
-        self.len_a, self.len_b = [len(p) for p in self.bytes_a], [len(p) for p in self.bytes_b]
-        self.size_a, self.size_b = np.array(self.len_a), np.array(self.len_b)
-        self.said_a, self.said_b = [str(i) for i in range(len(self.len_a))], [str(i) for i in range(len(self.len_b))]
+        self.size_a, self.size_b = np.array([len(p) for p in self.bytes_a]), np.array([len(p) for p in self.bytes_b])
+        self.said = np.array([f"{i}{sign}" for n, signs in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for sign in signs for i in range(n)], object)
         self.space_a = np.array([p[:1] == b" " for p in self.bytes_a])
         self.space_b = np.array([p[:1] == b" " for p in self.bytes_b])
         self.forget()
@@ -147,24 +137,25 @@ class Aligner:
         self.pairs = array("q")          # pair codes of all windows, one after another
         self.first = array("q", [0])
 
-    def window(self, key: bytes) -> int:
-        """Aligns a window that is new, and gives its number."""
-        ids = np.frombuffer(key, np.int32).tolist()
-        first_b = bisect_left(ids, OTHER, key=lambda x: x & OTHER) if len(ids) > 2 else 1
-        a, b = ids[:first_b], [y - OTHER for y in ids[first_b:]]
-        groups, links = align_window(a, b, self.len_a, self.len_b)
-        says_a, says_b = [self.said_a[x] for x in a], [self.said_b[y] for y in b]
-        said, i, j = [], 0, 0
-        for k, m in groups:
-            said.append(",".join(says_a[i:k]) + "|" + ",".join(says_b[j:m]))
-            i, j = k, m
-        at = self.memo[key] = len(self.text)
-        self.text.append(";".join(said))
-        self.n_groups.append(len(groups))
-        self.pairs.extend(links)
-        self.first.append(len(self.pairs))
+    def learn(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """Aligns new windows, of ``n_a`` and ``n_b`` tokens each, in a row."""
+        ends, codes, both, end_a, end_b = align_windows(a, b, self.size_a, self.size_b)
+        done = np.searchsorted(ends, end_a[np.cumsum(n_a) - 1], "right")  # links up to the end of each window
+        groups = np.cumsum(both)[done - 1]
+        # tokens in the order in which the groups name them, each with the sign after it
+        group = [np.searchsorted(ends[both], e) for e in (end_a, end_b)]
+        last = [np.append(g[1:] != g[:-1], True) for g in group]
+        said = np.concatenate((a + last[0] * len(self.size_a), b + last[1] * len(self.size_b) + 2 * len(self.size_a)))
+        order = np.argsort(np.concatenate((2 * group[0], 2 * group[1] + 1)), kind="stable")
+        parts = self.said[said[order]].tolist()
+        at = 0
+        for to in np.cumsum(n_a + n_b).tolist():
+            self.text.append("".join(parts[at:to]))
+            at = to
+        self.n_groups.frombytes(np.diff(groups, prepend=0).astype(np.int64).tobytes())
+        self.first.frombytes((len(self.pairs) + done).astype(np.int64).tobytes())
+        self.pairs.frombytes(codes.tobytes())
         self.remembered += len(a) + len(b)
-        return at
 
     def tokens(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
         """Ids of both sides, or none where their bytes are not those of the text."""
@@ -195,13 +186,19 @@ class Aligner:
         cut_a, cut_b = self._anchors(flat_a, flat_b, np.cumsum(n_a), np.cumsum(n_b))
         # the id tuples of a window as one string of 32-bit ids, those of b marked
         ids_a, ids_b = flat_a.tobytes(), (flat_b + OTHER).astype(np.int32).tobytes()
-        found, known = [], self.memo.get
+        found, new, memo = [], [], self.memo
+        n = len(memo)
         i = j = 0
-        for k, m in zip((4 * cut_a).tolist(), (4 * cut_b).tolist(), strict=True):
-            key = ids_a[i:k] + ids_b[j:m]
-            at = known(key)
-            found.append(self.window(key) if at is None else at)
+        for x, (k, m) in enumerate(zip((4 * cut_a).tolist(), (4 * cut_b).tolist(), strict=True)):
+            at = memo.setdefault(ids_a[i:k] + ids_b[j:m], n)
+            if at == n:
+                new.append(x)
+                n += 1
+            found.append(at)
             i, j = k, m
+        if new:
+            size_a, size_b = np.diff(cut_a, prepend=0)[new], np.diff(cut_b, prepend=0)[new]
+            self.learn(flat_a[_ranges(cut_a[new] - size_a, size_a)], size_a, flat_b[_ranges(cut_b[new] - size_b, size_b)], size_b)
         # windows of each text: those up to the one that ends with its last token
         last = np.searchsorted(cut_a, np.cumsum(n_a)) + 1
         w = np.array(found)
@@ -211,7 +208,7 @@ class Aligner:
         groups = np.add.reduceat(np.array(self.n_groups)[w], starts)
         total = np.add.reduceat(links, starts)
         for x, i in enumerate(have):
-            said = ";".join([self.text[v] for v in found[starts[x]:last[x]]])
+            said = "".join(map(self.text.__getitem__, found[starts[x]:last[x]]))[:-1]
             lines[i] = (int(n_a[x]), int(n_b[x]), int(groups[x]), int(total[x]), hashlib.sha256(said.encode()).hexdigest())
         at = np.repeat(first[w] - np.concatenate([[0], np.cumsum(links)[:-1]]), links) + np.arange(links.sum())
         codes, number = np.unique(np.array(self.pairs)[at], return_inverse=True)
@@ -237,6 +234,12 @@ class Aligner:
         return at_a[shared], at_b[place[shared]]
 
 
+@lru_cache(maxsize=1)
+def _aligner(json_a: str, model_b: bytes) -> Aligner:
+    """One for the tasks that a process runs in turn, with the windows it knows."""
+    return Aligner(json_a, model_b)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     raw = struct.pack(f"<{len(arrays)}q", *[x.nbytes for x in arrays]) + b"".join(x.tobytes() for x in arrays)
     return zstandard.ZstdCompressor(level=1).compress(raw)
@@ -295,7 +298,7 @@ def link_chunks(docs: DataFrame, json_a: str, model_b: bytes, chunk_bytes: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core
-        aligner, chunk = Aligner(*shared.value), _Chunk()
+        aligner, chunk = _aligner(*shared.value), _Chunk()
         number = TaskContext.get().partitionId() << 32
         for b in _slices(batches):
             size = b.column("text").nbytes
