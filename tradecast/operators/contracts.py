@@ -137,25 +137,15 @@ def unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Per key: number of duplicated key values and surplus rows.  NULL keys are
     ignored (SQL UNIQUE allows many NULLs).
 
-    Every table is read once and gives a row for each of its keys; all keys of
-    all tables are then counted by one aggregation by value and one by key."""
-    rows = None
+    Each key is counted by its own typed columns, with a map-side combine, and
+    gives one row, of an empty table too."""
+    out = []
     for t, s in SPECS.items():
-        keys = [F.struct(F.lit(",".join(k)).alias("key_columns"), F.array(*[F.col(x).cast("string") for x in k]).alias("_v"))
-                for k in s.unique]
-        one = tables[t].select(F.explode(F.array(*keys)).alias("_k")).select(
-            F.lit(t).alias("table_name"), "_k.*", F.lit(1).cast("long").alias("_n"))
-        one = one.where(F.forall("_v", lambda x: x.isNotNull()))
-        rows = one if rows is None else rows.unionByName(one)
-    spark = rows.sparkSession
-    # so that the keys of an empty table are reported too
-    none = spark.createDataFrame([(t, ",".join(k), 0) for t, s in SPECS.items() for k in s.unique],
-                                 "table_name string, key_columns string, _n long")
-    rows = rows.unionByName(none.withColumn("_v", F.lit(None).cast("array<string>")))
-    count = rows.groupBy("table_name", "key_columns", "_v").agg(F.sum("_n").alias("_n"))
-    return count.groupBy("table_name", "key_columns").agg(
-        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
-        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1)), F.lit(0)).cast("long").alias("surplus_rows"))
+        for key in s.unique:
+            n = tables[t].dropna(subset=key).groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
+            out.append(n.agg(F.count("*").alias("duplicate_keys"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("surplus_rows"))
+                       .select(F.lit(t).alias("table_name"), F.lit(",".join(key)).alias("key_columns"), "duplicate_keys", "surplus_rows"))
+    return _union(out)
 
 
 def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:

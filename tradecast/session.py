@@ -24,7 +24,8 @@ DEFAULT_CONF = {
 }
 
 
-# Settings for a large cluster reading ~100 TB (apply with ``cluster_conf()``):
+# Settings for a large cluster reading ~100 TB (``get_session`` applies them unless
+# the master is local; ``cluster_conf()`` does it for a builder of your own):
 # many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB
 # file splits, skew-join splitting for partitions 5x the median and > 512 MB,
 # and a broadcast threshold well under executor memory (AQE still decides
@@ -53,11 +54,14 @@ def cluster_conf(builder):
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "tradecast") -> SparkSession:
-    """Build (or reuse) a session with AQE on and the UI off."""
+    """Build (or reuse) a session with AQE on and the UI off; on a cluster also
+    with ``CLUSTER_CONF``."""
     master = master or os.environ.get("TRADECAST_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if not (master == "local" or master.startswith("local[")):
+        b = cluster_conf(b)
     b = b.config("spark.driver.memory", os.environ.get("TRADECAST_DRIVER_MEM", "16g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
