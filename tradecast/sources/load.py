@@ -17,6 +17,7 @@ from tradecast.operators.contracts import SPECS, TableSpec
 from tradecast.sources.io import CSV_WRITE, LOAD_ORDER, RAW_SCHEMAS
 
 CORRUPT = "_corrupt_record"
+NULL_SPREAD = 1 << 16  # parts that rows without a foreign key are dealt to
 
 
 def row_rules(s: TableSpec) -> list[tuple[str, Column]]:
@@ -48,8 +49,12 @@ def checked(rows: DataFrame, s: TableSpec, parents: dict[str, DataFrame], loaded
             rows = rows.withColumn(f"_again_{i}", F.col(f"_again_{i}") | F.col(f"_have_{i}").isNotNull())
         rules.append((f"unique:{','.join(key)}", F.col(f"_again_{i}")))
     for i, (c, (parent, key)) in enumerate(s.fk.items()):
-        have = parents[parent].select(F.col(key).alias(c)).distinct().withColumn(f"_parent_{i}", F.lit(True))
-        rows = rows.join(have, c, "left")
+        # 0 as the optimizer can't see: of a literal it would make a plain condition, no key
+        nought = F.pmod(F.xxhash64(c), F.lit(1)).cast("int")
+        have = parents[parent].select(F.col(key).alias(c)).distinct().withColumns({"_part": nought, f"_parent_{i}": F.lit(True)})
+        # null keys meet no parent; without a second key all of them would lie in one task
+        part = F.when(F.col(c).isNull(), F.pmod(F.xxhash64(*fields), F.lit(NULL_SPREAD)).cast("int") + 1).otherwise(F.lit(0))
+        rows = rows.withColumn("_part", part).join(have, [c, "_part"], "left").drop("_part")
         rules.append((f"foreign_key:{c}", F.col(c).isNotNull() & F.col(f"_parent_{i}").isNull()))
     broken = F.array_compact(F.array(*[F.when(F.coalesce(test, F.lit(False)), F.lit(name)) for name, test in rules]))
     return rows.select(*fields, broken.alias("broken"))
