@@ -32,13 +32,16 @@ def int_div(a, b) -> Column:
 def ratio_half_up_units(num, den, digits: int = 0, num_scale: int = 0) -> Column:
     """Long ``k`` with ``k / 10^digits == round_half_up(num / 10^num_scale / den, digits)``.
 
-    ``num`` and ``den`` are non-negative integers with ``den > 0``.
+    ``num`` and ``den`` are non-negative integers with ``den > 0``.  Where every
+    step fits into a long it is done in longs.
     """
     n = _c(num).cast(_WIDE)
     d = _c(den).cast(_WIDE)
-    top = n * F.lit(2 * 10 ** digits).cast(_WIDE) + d * F.lit(10 ** num_scale).cast(_WIDE)
-    bottom = d * F.lit(2 * 10 ** num_scale).cast(_WIDE)
-    return int_div(top, bottom)
+    up, down = 2 * 10 ** digits, 10 ** num_scale
+    wide = int_div(n * F.lit(up).cast(_WIDE) + d * F.lit(down).cast(_WIDE), d * F.lit(2 * down).cast(_WIDE))
+    n, d = _c(num).try_cast("long"), _c(den).try_cast("long")
+    fits = n.between(0, 2 ** 62 // up) & d.between(1, 2 ** 61 // down)
+    return F.when(fits, int_div(n * up + d * down, d * (2 * down))).otherwise(wide)
 
 
 def ratio_half_up(num, den, digits: int = 0, num_scale: int = 0) -> Column:
@@ -61,11 +64,19 @@ def round_half_up(x, digits: int) -> Column:
     return F.when(r == 0, F.lit(0.0)).otherwise(r)  # no negative zero
 
 
+def _to_units(x, scale: int) -> Column:
+    """Exact long of a decimal(?, log10(scale)).  Up to 2^46 units the product
+    of doubles is off by less than a hundredth, and the nearest whole number is
+    exact; a product of decimals for each row would cost more."""
+    c, near = _c(x), _c(x).cast("double") * F.lit(float(scale))
+    return F.when(F.abs(near) < 2.0 ** 46, F.rint(near).cast("long")).otherwise((c * F.lit(scale)).cast("long"))
+
+
 def to_milli(price) -> Column:
     """Exact thousandths of a decimal(?,3) price as a long."""
-    return (_c(price) * F.lit(1000)).cast("long")
+    return _to_units(price, 1000)
 
 
 def to_cents(amount) -> Column:
     """Exact hundredths of a decimal(?,2) amount as a long."""
-    return (_c(amount) * F.lit(100)).cast("long")
+    return _to_units(amount, 100)
