@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradecast.llm import bpe, mixing
-from tradecast.llm.common import saved
+from tradecast.llm.common import map_texts, saved, small_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +72,19 @@ def test_without_labels_of_both_classes_nobody_is_rejected(spark, tmp_path):
     for name, kept in (("none", labels.where("false")), ("clean", labels.where("toxic = 0")), ("toxic", labels.where("toxic > 0"))):
         kept.write.parquet(f"{tmp_path}/{name}/labels.parquet")
         assert corpus_pipeline.civility(spark, docs, f"{tmp_path}/{name}").count() == docs.count()
+
+
+def test_rows_go_to_python_in_batches_of_bounded_bytes(spark):
+    docs = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 20_000).alias("text"))
+    seen = map_texts(docs, {"n": T.StringType()}, lambda: lambda texts: [[str(len(texts))] * len(texts)], keep_text=False)
+    assert max(int(r["n"]) for r in seen.collect()) * 20_000 < 6 << 20
+
+
+def test_small_tables_need_no_python_workers(spark):
+    rows = [(1, "a", 0.5, [1 << 40, 2]), (2, None, None, None)]
+    for some in (rows, rows[:0]):
+        got = small_table(spark, some, "i int, s string, d double, l array<long>")
+        assert got.dtypes == [("i", "int"), ("s", "string"), ("d", "double"), ("l", "array<bigint>")]
+        assert [tuple(r) for r in got.collect()] == some
+    plan = small_table(spark, rows, "i int, s string, d double, l array<long>")._jdf.queryExecution().toRdd().toDebugString()
+    assert "PythonRDD" not in plan

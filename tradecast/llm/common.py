@@ -39,7 +39,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-ROWS_AT_ONCE = 500  # texts turned to Python strings at a time
+ROWS_AT_ONCE = 500     # texts turned to Python strings at a time
+BYTES_AT_ONCE = "4m"  # of rows that a task sends to Python at a time
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of the Arrow batches that tasks send to Python, unless the
+    session already has a bound.  Spark's own is 10,000 rows or 64 MB, which the
+    executor holds outside its heap, once more while a buffer grows, and Python again."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, BYTES_AT_ONCE)
 
 
 def map_texts(docs: DataFrame, new: dict[str, T.DataType], start: Callable[[], Callable[[list], list]], keep_text: bool = True) -> DataFrame:
@@ -47,6 +57,7 @@ def map_texts(docs: DataFrame, new: dict[str, T.DataType], start: Callable[[], C
     in Python.  ``start`` is called once in a task and gives the function from a
     list of texts to a list of values for each new column.  Other columns pass
     through as Arrow arrays, untouched; those named like a new one go."""
+    short_batches(docs.sparkSession)
     docs = docs.drop(*new)
     kept = docs if keep_text else docs.drop("text")
     names, schema = kept.columns, T.StructType([*kept.schema.fields, *(T.StructField(k, v) for k, v in new.items())])
@@ -64,7 +75,19 @@ def map_texts(docs: DataFrame, new: dict[str, T.DataType], start: Callable[[], C
     return docs.mapInArrow(run, schema)
 
 
-_ARROW = {"string": pa.string(), "double": pa.float64(), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32())}
+_ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(),
+          "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+
+
+def small_table(spark: SparkSession, rows: list[tuple], fields: str) -> DataFrame:
+    """A table of a few rows of the driver, by way of Arrow.  A list would pass
+    through Python workers of another kind, which then stay beside those that
+    hold the models."""
+    schema = T.StructType.fromDDL(fields)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    columns = [pa.array(v, _ARROW[f.dataType.simpleString()]) for v, f in zip(zip(*rows, strict=True), schema, strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
 
 
 def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[..., DataFrame]]:
@@ -109,6 +132,6 @@ def with_global_index(df: DataFrame, alias: str) -> DataFrame:
     """Adds the 0-based position of each row in the order of ``ordered``."""
     offsets = range_offsets(df, F.lit(1))
     spark = df.sparkSession
-    off = spark.createDataFrame(offsets, "_pid int, _before long")
+    off = small_table(spark, offsets, "_pid int, _before long")
     return (df.join(F.broadcast(off), "_pid")  # one row per partition of the range shuffle
             .withColumn(alias, F.col("_before") + F.col("_idx")).drop("_before"))

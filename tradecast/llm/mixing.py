@@ -22,7 +22,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradecast.llm.common import BLANK, WORD, n_words, ordered, shielded
+from tradecast.llm.common import BLANK, WORD, n_words, ordered, shielded, small_table
 
 WEIGHTS = (5, 2, 1)   # repeating over the sources by code point, null last
 MAX_REPEAT = 3
@@ -142,9 +142,9 @@ def plan_mix(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[
         before.append((r["_pid"], r["source"], total.get(r["source"], 0)))
         total[r["source"]] = total.get(r["source"], 0) + r["n"]
     length, per = quotas(total, shards, seed)
-    offsets = spark.createDataFrame(before, "_pid int, _src string, _before long")
-    params = spark.createDataFrame(
-        [(q.source, q.size, q.target, q.blocks, q.quota, q.mult, q.shift, list(accumulate(q.by_shard))) for q in per],
+    offsets = small_table(spark, before, "_pid int, _src string, _before long")
+    params = small_table(
+        spark, [(q.source, q.size, q.target, q.blocks, q.quota, q.mult, q.shift, list(accumulate(q.by_shard))) for q in per],
         "_src string, _source_size long, _target double, _blocks long, _quota long, _mult long, _shift long, _upto array<long>")
     # broadcasts: a row per range and source, and a row per source
     out = _running(placed).alias("p").join(F.broadcast(offsets.alias("o")), F.expr("p._pid = o._pid AND p.source <=> o._src"))

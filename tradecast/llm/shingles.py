@@ -21,7 +21,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2^64."""
-    size = max(BATCH_BYTES * 2, 1 << (n - 1).bit_length())
+    size = BATCH_BYTES + (1 << 10) if n <= BATCH_BYTES + (1 << 10) else 1 << (n - 1).bit_length()
     if size not in _powers:
         _powers.clear()
         out = []
