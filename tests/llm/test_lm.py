@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,3 +25,20 @@ def test_without_a_network_the_score_is_the_base_score(spark):
     assert len(got) == 30 and {r["held_out"] for r in got} == {True, False}
     for r in got:
         assert r["score"] == pytest.approx(r["base_score"], rel=1e-12) and r["base_score"] < 0
+
+
+def test_faster_kernels_give_what_the_plain_formulas_give():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((40, 7, 32)).astype(np.float32)
+    x[3] -= 500  # rows far below the others have a shift of their own
+    x[5, 2, 4:] = -1e9
+    e = np.exp(x.astype(float) - x.max(-1, keepdims=True))
+    assert np.allclose(attention.softmax(x.copy()), e / e.sum(-1, keepdims=True), atol=1e-6)
+    for texts in ([], [b""], [b"", b"The the cat THE", b"z" * 3000 + b" a bc " + b"y" * attention.SHORT + b" " + b"x" * (attention.SHORT + 1)]):
+        t = attention.tokenize(texts)
+        words = [w for text in texts for w in [*text.lower().split(), None]]
+        assert len(t.at) == len(words) and t.length.sum() == len(words)
+        assert len(set(zip(words, t.at.tolist()))) == len(set(words)) == len(set(t.at.tolist()))
+        p = attention.new_parameters()
+        plain = [p["subword"][t.ids[a:b]].astype(float).mean(0) for a, b in zip(t.first[:-1], t.first[1:])]
+        assert np.allclose(attention.vectors(p, t.ids, t.first), plain, atol=1e-5)

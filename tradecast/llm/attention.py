@@ -26,6 +26,7 @@ WINDOW = 32       # tokens that a window reads
 STRIDE = 24       # by which windows advance; those after the first score so many tokens
 END_HASH = np.uint64(0)
 BATCH = 512       # windows scored at a time
+SHORT = 24        # subwords of a token that are added one by one, for all tokens at once
 
 
 @dataclass
@@ -44,7 +45,11 @@ def tokenize(texts: list[bytes]) -> Tokens:
     wide = np.concatenate(([32], buf, [32, 32])).astype(np.uint32)
     tri = ((wide[:-2] * np.uint32(0x9E3779B1)) ^ (wide[1:-1] * np.uint32(0x85EBCA77)) ^ (wide[2:] * np.uint32(0xC2B2AE3D)))
     tri = ((tri * np.uint32(0x27D4EB2F)) >> np.uint32(32 - 14)).astype(np.int32)
-    hashes, where, at = np.unique(h, return_index=True, return_inverse=True)
+    order = np.argsort(h)  # any word of a hash will do; np.unique would take longer to find the first
+    new = np.diff(h[order], prepend=~h[order[:1]]) != 0
+    where = order[new]
+    hashes, at = h[where], np.empty(len(h), np.int64)
+    at[order] = np.cumsum(new) - 1
     size = end[where] - start[where]  # a word of n bytes has n trigrams
     first = np.concatenate(([0, 1], 1 + np.cumsum(size)))
     ids = np.empty(first[-1], np.int32)
@@ -79,9 +84,22 @@ def windows(length: np.ndarray) -> Windows:
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(-1, keepdims=True))
-    x /= x.sum(-1, keepdims=True)
-    return x
+    """Over the last axis; uses up ``x``.  One shift serves all rows, unless a row lies far below it."""
+    one = np.ones(x.shape[-1], x.dtype)
+    x -= x.max()
+    e = np.exp(x)
+    total = e @ one  # sums of short rows are faster so
+    if not total.min() > 1e-25:
+        x -= x.max(-1, keepdims=True)
+        np.exp(x, out=e)
+        total = e @ one
+    e /= total[..., None]
+    return e
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of rows, as a column."""
+    return np.einsum("ij,ij->i", a, b)[:, None]
 
 
 _LATER = np.triu(np.ones((WINDOW, WINDOW), bool), 1)
@@ -103,8 +121,28 @@ def new_parameters(seed: int = 3) -> dict[str, np.ndarray]:
 
 def vectors(p: dict[str, np.ndarray], ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Mean subword vector of every distinct token."""
-    sums = np.add.reduceat(p["subword"][ids], first[:-1], axis=0)
-    return sums / np.diff(first)[:, None].astype(np.float32)
+    sizes = np.diff(first)
+    order = np.argsort(-np.minimum(sizes, SHORT + 1).astype(np.int8), kind="stable")  # the longest first
+    begin, size = first[:-1][order], sizes[order]
+    long = int((size > SHORT).sum())
+    sums = np.empty((len(size), WIDTH), p["subword"].dtype)
+    if long:
+        many = size[:long]
+        ends = np.cumsum(many)
+        at = np.arange(ends[-1]) + np.repeat(begin[:long] - (ends - many), many)
+        sums[:long] = np.add.reduceat(p["subword"][ids[at]], ends - many, axis=0)
+    begin, rest = begin[long:], sums[long:]
+    rest[:] = p["subword"][ids[begin]]
+    left = np.cumsum(np.bincount(size[long:], minlength=SHORT + 1)[::-1])[::-1]  # words of so many subwords or more
+    for j in range(1, SHORT):
+        n = left[j + 1]
+        if not n:
+            break
+        rest[:n] += p["subword"][ids[begin[:n] + j]]
+    sums /= size[:, None].astype(np.float32)
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
 
 
 def classes(p: dict[str, np.ndarray], v: np.ndarray) -> np.ndarray:
@@ -113,15 +151,20 @@ def classes(p: dict[str, np.ndarray], v: np.ndarray) -> np.ndarray:
 
 
 def _attend(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Masked attention over windows of vectors; all that the gradient needs."""
-    q, k, v = x @ p["query"], x @ p["key"], x @ p["value"]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(WIDTH ** -0.5)
-    s += p["near"][_DISTANCE]
-    s[:, _LATER] = -1e9
+    """Masked attention over windows of vectors; all that the gradient needs.
+    The distributions and what is read have a row for each step."""
+    rows = x.reshape(-1, WIDTH)
+    q, k, v = (m.reshape(x.shape) for m in (rows @ p["query"], rows @ p["key"], rows @ p["value"]))
+    bias = p["near"][_DISTANCE]
+    bias[_LATER] = -1e9
+    s = (q * np.float32(WIDTH ** -0.5)) @ k.transpose(0, 2, 1)
+    s += bias
     a = softmax(s)
-    h = a @ v
-    return softmax(h @ p["out"] + x @ p["last"] + p["bias"]), q, k, v, a, h
+    h = (a @ v).reshape(-1, WIDTH)
+    c = h @ p["out"]
+    c += rows @ p["last"]
+    c += p["bias"]
+    return softmax(c), q, k, v, a, h
 
 
 def _inputs(p: dict[str, np.ndarray], v: np.ndarray, at: np.ndarray, w: Windows, rows: slice | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +187,8 @@ def lifts(p: dict[str, np.ndarray], mean: np.ndarray, t: Tokens) -> np.ndarray:
         x, _ = _inputs(p, v, t.at, w, rows)
         c = _attend(p, x)[0]
         step, scored = w.step[rows], w.scored[rows]
-        out[step[scored]] = (c * q[t.at[step]]).sum(-1)[scored]
+        step = step[scored]
+        out[step] = np.einsum("ij,ij->i", c[scored.ravel()], q[t.at[step]])
     return out
 
 
@@ -163,37 +207,45 @@ def gradient(p: dict[str, np.ndarray], t: Tokens, w: Windows, rows: np.ndarray)
     opens = w.opens[rows]
     x[opens] = p["subword"][START]
     c, q, k, val, a, h = _attend(p, x)
-    vt = v[target]
+    rows_x, vt = x.reshape(-1, WIDTH), v[target.ravel()]
     own = classes(p, vt)
     n = max(1, int(scored.sum()))
-    weight = (scored / n).astype(np.float32)[..., None]
-    mean = np.maximum((own * weight).sum((0, 1)), 1e-6)
+    weight = (scored.ravel() / n).astype(np.float32)[:, None]
+    mean = np.maximum((weight.T @ own)[0], 1e-6)
     ratio = own / mean
-    lift = (c * ratio).sum(-1, keepdims=True)
+    lift = _dot(c, ratio)
     loss = float(-(np.log(lift) * weight).sum())
     g: dict[str, np.ndarray] = {}
-    dc = -ratio / lift * weight
-    down = -c / mean / lift * weight
-    down -= (down * own).sum((0, 1)) / mean * weight
-    do = own * (down - (down * own).sum(-1, keepdims=True))
-    dg = c * (dc - (dc * c).sum(-1, keepdims=True))
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g["class"], g["share"] = flat(vt).T @ flat(do), do.sum((0, 1))
+    each = weight / lift
+    down = c * (-1 / mean)
+    down *= each
+    down -= np.einsum("ij,ij->j", down, own) / mean * weight
+    do = down - _dot(down, own)
+    do *= own
+    ratio *= each
+    dg = weight - ratio  # the mean of the gradient of c under c itself is -weight
+    dg *= c
+    g["class"], g["share"] = vt.T @ do, do.sum(0)
     dv_target = do @ p["class"].T
-    g["out"], g["last"], g["bias"] = flat(h).T @ flat(dg), flat(x).T @ flat(dg), dg.sum((0, 1))
+    g["out"], g["last"], g["bias"] = h.T @ dg, rows_x.T @ dg, dg.sum(0)
     dh = dg @ p["out"].T
     dx = dg @ p["last"].T
-    da, dval = dh @ val.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
-    ds = a * (da - (da * a).sum(-1, keepdims=True))
+    own_part = _dot(dh, h).reshape(*x.shape[:2], 1)  # sum of da * a over what a step reads
+    dh = dh.reshape(x.shape)
+    ds, dval = dh @ val.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
+    ds -= own_part
+    ds *= a
     g["near"] = np.bincount(_DISTANCE.ravel(), (ds.sum(0) * ~_LATER).ravel(), WINDOW).astype(np.float32)
     ds *= np.float32(WIDTH ** -0.5)
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
     for name, d in (("query", dq), ("key", dk), ("value", dval)):
-        g[name] = flat(x).T @ flat(d)
+        d = d.reshape(-1, WIDTH)
+        g[name] = rows_x.T @ d
         dx += d @ p[name].T
+    dx = dx.reshape(x.shape)
     start = dx[opens].sum(0)
     dx[opens] = 0
-    every, grads = np.concatenate((target.ravel(), before.ravel())), np.concatenate((flat(dv_target), flat(dx)))
+    every, grads = np.concatenate((target.ravel(), before.ravel())), np.concatenate((dv_target, dx.reshape(-1, WIDTH)))
     dv = _summed(every, grads, len(used)) / sizes[:, None]
     g["subword"] = _summed(ids, np.repeat(dv, sizes, axis=0), SUBWORDS + 2).astype(np.float32)
     g["subword"][START] += start
