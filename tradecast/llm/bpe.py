@@ -14,7 +14,9 @@ import base64
 import heapq
 import json
 import zlib
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import regex
 from pyspark.sql import Column, DataFrame
@@ -28,7 +30,9 @@ SAMPLE_ROWS = 20_000   # documents whose words fill the table, about
 TABLE_WORDS = 1 << 17  # distinct words folded in advance
 LONGEST = 24           # bytes of such a word
 SLOTS = 1 << 14        # maps that the ranks are dealt to, by crc32
-MEMO = 200_000         # further words a task remembers
+MEMO = 100_000         # further words a task remembers
+SHORT = 64             # bytes of a word whose pairs are scanned for the lowest rank
+NEVER = 1 << 62        # rank of a pair that does not merge
 
 
 @lru_cache(maxsize=4)
@@ -74,10 +78,28 @@ def fold_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 
 def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same fold of one word, with a heap of the pairs."""
+    """The same fold of one word."""
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n > SHORT:
+        return _fold_long(word, ranks)
+    part, get = [word[i:i + 1] for i in range(n)], ranks.get
+    rank = [get(word[i:i + 2], NEVER) for i in range(n - 1)]
+    while rank and (r := min(rank)) != NEVER:
+        i = rank.index(r)
+        part[i] += part.pop(i + 1)
+        del rank[i]
+        if i:
+            rank[i - 1] = get(part[i - 1] + part[i], NEVER)
+        if i < len(rank):
+            rank[i] = get(part[i] + part[i + 1], NEVER)
+    return [ranks[p] for p in part]
+
+
+def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """With a heap of the pairs, whose time hardly exceeds the word's length."""
+    n = len(word)
     part: list[bytes | None] = [word[i:i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(r, i, part[i] + part[i + 1]) for i in range(n - 1) if (r := ranks.get(part[i] + part[i + 1])) is not None]
@@ -111,29 +133,31 @@ def frequent_words(docs: DataFrame, pattern: str) -> DataFrame:
             .orderBy(F.desc("n"), "word").limit(TABLE_WORDS).select("word"))
 
 
+class _Words(dict):
+    """Ids of words: of those given, and of the last that were asked for besides."""
+
+    def __init__(self, words: Iterable[str], ids: Iterable[list[int]], ranks: dict[bytes, int]):
+        same = {i: i for i in ranks.values()}.__getitem__  # one object for each id
+        super().__init__(zip(words, (tuple(map(same, x)) for x in ids), strict=True))
+        self.ranks, self.most = ranks, len(self) + MEMO
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= self.most:
+            for _ in range(MEMO):  # the newest; those given were first
+                self.popitem()
+        ids = self[word] = tuple(fold(word.encode(), self.ranks))
+        return ids
+
+
 class _Encoder:
     """Encodes texts in a task."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, table: dict[str, list[int]]):
-        self.ranks, self.table, self.memo = ranks, table, {}
+    def __init__(self, ranks: dict[bytes, int], pattern: str, words: Iterable[str], ids: Iterable[list[int]]):
+        self.of = _Words(words, ids, ranks).__getitem__
         self.split = regex.compile(pattern).findall
 
-    def unknown(self, word: str) -> list[int]:
-        ids = self.memo.get(word)
-        if ids is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            ids = self.memo[word] = fold(word.encode(), self.ranks)
-        return ids
-
     def ids(self, text: str | None) -> list[int]:
-        words = self.split(text) if text else []
-        found = list(map(self.table.get, words))
-        out: list[int] = []
-        add, unknown = out.extend, self.unknown
-        for ids, word in zip(found, words, strict=True):
-            add(unknown(word) if ids is None else ids)
-        return out
+        return list(chain.from_iterable(map(self.of, self.split(text)))) if text else []
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bool = True) -> DataFrame:
@@ -148,7 +172,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_text: bo
 
     def start():
         known, split, words = shared.value
-        e = _Encoder(known, split, dict(zip(words["word"].to_pylist(), words["ids"].to_pylist(), strict=True)))
+        e = _Encoder(known, split, words["word"].to_pylist(), (x.as_py() for x in words["ids"]))
         return lambda texts: [[e.ids(t) for t in texts]]
 
     return map_texts(docs, {"ids": T.ArrayType(T.IntegerType())}, start, keep_text)
