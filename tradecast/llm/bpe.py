@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 from tradecast.llm.common import map_texts, saved
 from tradecast.llm.sketch import let
 
-SAMPLE_ROWS = 20_000   # documents whose words fill the table, about
 TABLE_WORDS = 1 << 17  # distinct words folded in advance
 LONGEST = 24           # bytes of such a word
 SLOTS = 1 << 14        # maps that the ranks are dealt to, by crc32
@@ -122,15 +121,23 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def frequent_words(docs: DataFrame, pattern: str) -> DataFrame:
-    """The most frequent words of about ``SAMPLE_ROWS`` documents, chosen by a
-    hash.  They only save work: any words would give the same ids."""
-    n = docs.count()
-    picked = docs.select(F.col("text"))
-    if n > SAMPLE_ROWS:
-        picked = docs.where((F.xxhash64(F.lit("bpe"), "doc_id") / F.lit(2.0 ** 64) + 0.5) < SAMPLE_ROWS / n).select("text")
-    words = picked.select(F.explode(F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(0))).alias("word"))
-    return (words.where((F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 1)).groupBy("word").agg(F.count("*").alias("n"))
-            .orderBy(F.desc("n"), "word").limit(TABLE_WORDS).select("word"))
+    """The ``TABLE_WORDS`` most frequent words, counted over all documents.  They
+    only save work: any words would give the same ids, as tasks fold the words
+    that they lack.
+
+    The least count that fits is read off the numbers of words of each count, so
+    that no task sorts them all; only words of that count are put in order."""
+    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"({pattern})"), F.lit(0))).alias("word"))
+    counts = saved(words.where((F.octet_length("word") <= LONGEST) & (F.octet_length("word") > 1)).groupBy("word").agg(F.count("*").alias("n")), "bpe-counts")
+    sizes = counts.groupBy("n").agg(F.count("*").alias("of")).orderBy(F.desc("n")).limit(TABLE_WORDS + 1).collect()
+    least, room = 0, TABLE_WORDS
+    for r in sizes:
+        if r["of"] > room:
+            least = r["n"]
+            break
+        room -= r["of"]
+    more = counts.where(F.col("n") > least).select("word")
+    return more.unionByName(counts.where(F.col("n") == least).select("word").orderBy("word").limit(room)) if least and room else more
 
 
 class _Words(dict):
